@@ -78,15 +78,12 @@ def genres(docs: DataFrame) -> DataFrame:
 
 def companies(docs: DataFrame) -> DataFrame:
     """(ref_id, seq, company_role, company_name): the three lists as one, tagged."""
-    tagged = F.concat(
-        *[
-            F.transform(
-                F.coalesce(F.col(f"media_details.{field}"), F.array().cast("array<string>")),
-                lambda name, role=role: F.struct(F.lit(role).alias("role"), name.alias("name")),
-            )
-            for field, role in COMPANY_LISTS.items()
-        ]
-    )
+
+    def tag(field: str, role: str) -> Column:
+        names = F.coalesce(F.col(f"media_details.{field}"), F.array().cast("array<string>"))
+        return F.transform(names, lambda n: F.struct(F.lit(role).alias("role"), n.alias("name")))
+
+    tagged = F.concat(*[tag(field, role) for field, role in COMPANY_LISTS.items()])
     return docs.select("media_id", F.posexplode(tagged).alias("_pos", "_c")).select(
         F.col("media_id").alias("ref_id"),
         _seq(F.col("_pos")).alias("seq"),

@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 from reelhouse.functions.keys import surrogate_id
 from reelhouse.functions.text import words
 from reelhouse.operators import entities
+from reelhouse.operators import reviews as review_ops
+from reelhouse.schemas import MEDIA_DETAILS, REVIEW, REVIEW_MAP
 from reelhouse.session import run_dir
-from reelhouse.sources.readers import spread
+from reelhouse.sources.readers import category_columns, spread
+
+# Tables that grow with the scale factor and may come as one row group.
+GROWING = ("lineitem", "orders", "events", "documents", "pages", "conversations")
 
 REVIEWER_KEY = ("reviewer_username", "association")
 SECTION_KEY = ("section_name", "section_type")
@@ -25,7 +30,8 @@ ROLE_KEY = ("nconst", "play_method", "role")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in GROWING else rows
 
 
 def media_id(part_key: str) -> Column:
@@ -50,13 +56,20 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship = F.col("l_shipdate")
     return table(spark, sf_dir, "lineitem").select(
-        # Arrival order; no two lines of one order, number, part and day exist.
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+        # Arrival order; unique among the lines of a part.
+        (
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
+            * F.lit(10**12).cast("decimal(13,0)")
+            + F.col("l_suppkey")
+        )
+        .cast("decimal(38,0)")
+        .alias("seq"),
         "l_orderkey",
         "l_partkey",
         F.year(ship).alias("year"),
         F.month(ship).alias("month"),
         F.dayofmonth(ship).alias("day"),
+        F.date_format(ship, "yyyy-MM-dd").alias("post_date"),
         F.col("l_quantity").cast("int").alias("rating"),
         F.when(F.col("l_returnflag") == "A", "Platform")
         .when(F.col("l_returnflag") == "N", "Season")
@@ -121,6 +134,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_critic",
             "section_type",
             _section_name().alias("section_name"),
+            "post_date",
         )
     )
 
@@ -186,6 +200,103 @@ def role_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sentences(spark: SparkSession, sf_dir: str, name: str, *carry: str) -> DataFrame:
+    """Sentences of whole texts: names and titles without a shared key."""
+    pieces = F.explode(F.split("text", "[.\\n]+")).alias("_s")
+    return (
+        table(spark, sf_dir, name)
+        .select(*carry, pieces)
+        .select(*carry, F.trim("_s").alias("sentence"))
+        .where("sentence <> ''")
+    )
+
+
+def category() -> Column:
+    kind = F.col("p_type")
+    return (
+        F.when(kind.isin("STANDARD", "PROMO"), "GAMES")
+        .when(kind.isin("SMALL", "LARGE"), "TV_SHOWS")
+        .otherwise("MOVIES")
+    )
+
+
+def _only(cat: str, value: Column) -> Column:
+    return F.when(F.col("category") == cat, value)
+
+
+def documents(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> DataFrame:
+    """Nested review documents, one per part, of the declared document type."""
+    name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    date = F.concat(F.lit("Nov 12, "), (F.col("p_size") + 1970).cast("string"))
+    brand = F.array("p_brand")
+    duration = F.concat(
+        F.floor(F.col("p_size") / 10).cast("string"),
+        F.lit(" h "),
+        (F.col("p_size") % 10).cast("string"),
+        F.lit(" m"),
+    )
+    fields = {
+        "summary": F.col("p_brand"),
+        "genres": F.transform(words(F.col("p_name")), lambda g: F.concat(F.lit(" "), g)),
+        "rating": F.concat(F.lit("R"), (F.col("p_size") % 5).cast("string")),
+        "release_date": _only("MOVIES", date),
+        "initial_release_date": F.when(F.col("category") != "MOVIES", date),
+        "duration": _only("MOVIES", duration),
+        "developers": _only("GAMES", brand),
+        "publishers": _only("GAMES", F.array("p_brand", "p_type")),
+        "production_companies": F.when(F.col("category") != "GAMES", brand),
+    }
+    details = F.struct(
+        *[
+            fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in MEDIA_DETAILS.fields
+        ]
+    )
+    docs = table(spark, sf_dir, "part").withColumn("category", category()).select(
+        "p_partkey",
+        "category",
+        _only("MOVIES", name).alias("title"),
+        # An empty string is skipped like a missing title.
+        F.when(F.col("category") == "TV_SHOWS", name).otherwise("").alias("tv_title"),
+        _only("GAMES", name).alias("game_title"),
+        details.alias("media_details"),
+    )
+    media_type, section_type = category_columns(F.col("category"))
+    docs = docs.withColumns({"media_type": media_type, "section_type": section_type})
+    if with_reviews:
+        first = review_ops.first_reviews(
+            structured_reviews(spark, sf_dir), ["media_info_id", "section_name", "is_critic"], "seq"
+        )
+        maps = review_ops.section_maps(first, ["media_info_id"])
+        docs = docs.join(
+            maps, media_id("p_partkey") == maps["media_info_id"], "left"
+        ).drop("media_info_id")
+    else:
+        docs = docs.withColumns(
+            {c: F.lit(None).cast(REVIEW_MAP) for c in ("critic_reviews", "user_reviews")}
+        )
+    return review_ops.with_media_id(docs)
+
+
+def structured_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with their content as the declared review struct."""
+    values = {
+        "author": F.col("reviewer_username"),
+        "company": F.col("association"),
+        "quote": F.lit(""),
+        "rating": F.col("rating"),
+        "post_date": F.col("post_date"),
+        "spoiler": F.lit(False),
+        "isCritic": F.col("is_critic"),
+    }
+    review = F.struct(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REVIEW.fields]
+    )
+    return reviews(spark, sf_dir).select(
+        "media_info_id", "section_name", "is_critic", "seq", review.alias("review")
+    )
+
+
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse tables over the stand-in rows."""
     raw = reviews(spark, sf_dir)
@@ -211,9 +322,9 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             reviewer_rows(spark, sf_dir), REVIEWER_KEY, "seq", ("is_critic",)
         ),
         "DIM_TIME": entities.distinct_entities(time_rows(spark, sf_dir), TIME_KEY, "seq"),
-        "BRIDGE_MEDIA_GENRE": _bridge(genres, ("genre_title",), "genre_id"),
-        "BRIDGE_MEDIA_COMPANY": _bridge(companies, COMPANY_KEY, "company_id"),
-        "BRIDGE_MEDIA_ROLE": _bridge(roles, ROLE_KEY, "role_id"),
+        "BRIDGE_MEDIA_GENRE": bridge(genres, ("genre_title",), "genre_id"),
+        "BRIDGE_MEDIA_COMPANY": bridge(companies, COMPANY_KEY, "company_id"),
+        "BRIDGE_MEDIA_ROLE": bridge(roles, ROLE_KEY, "role_id"),
         "FACT_REVIEWS": entities.facts(
             fact.select("seq", *fact_key, "rating"), fact_key, "seq"
         ).select(*fact_key, "rating"),
@@ -254,6 +365,6 @@ class Staged(Mapping[str, DataFrame]):
         return len(self.tables)
 
 
-def _bridge(rows: DataFrame, keys: tuple[str, ...], fk: str) -> DataFrame:
+def bridge(rows: DataFrame, keys: tuple[str, ...], fk: str) -> DataFrame:
     refs = entities.entity_refs(rows.withColumnRenamed("ref_id", "media_id"), keys, "media_id", fk)
     return entities.bridge(refs, "media_id", fk)

@@ -109,14 +109,15 @@ def delimited(
 
 
 def multi_table_json(
-    spark: SparkSession, path: str, tables: Mapping[str, T.StructType]
+    spark: SparkSession, path: str, tables: Mapping[str, T.StructType], multi_line: bool = True
 ) -> dict[str, DataFrame]:
     """One `{table: [rows]}` object per file; one DataFrame per table.
 
-    A JSON object cannot be split, so the unit of parallelism is the file.
+    A JSON object cannot be split, so the unit of parallelism is the file; without
+    `multi_line` it is the line, one object each.
     """
     schema = T.StructType([T.StructField(n, T.ArrayType(s)) for n, s in tables.items()])
-    objects = spark.read.schema(schema).option("multiLine", True).json(path)
+    objects = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return split_tables(objects, list(tables))
 
 

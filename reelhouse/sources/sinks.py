@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reelhouse.operators import quality
 from reelhouse.schemas import WAREHOUSE
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 
 
 def stage_append(df: DataFrame, stage: str, name: str, rows_per_file: int = 1_000_000) -> None:
