@@ -18,7 +18,7 @@ from reelhouse.functions.text import strip
 
 NODE_LIST = (
     "array<struct<pos:int,last:int,parent:int,tag:string,class:string,"
-    "attrs:map<string,string>,text:string>>"
+    "classes:array<string>,attrs:map<string,string>,text:string>>"
 )
 TEXT = "#text"
 SCRIPT = "#script"
@@ -38,7 +38,8 @@ class _Flattener(HTMLParser):
         pos = len(self.nodes)
         attrs = attrs or {}
         parent = self.open[-1] if self.open else -1
-        self.nodes.append([pos, pos, parent, tag, attrs.get("class") or "", attrs, text])
+        names = attrs.get("class") or ""
+        self.nodes.append([pos, pos, parent, tag, names, names.split(), attrs, text])
         return pos
 
     def handle_starttag(self, tag, attrs):
@@ -85,8 +86,16 @@ def parse(html: Column) -> Column:
     return F.udf(_flatten, T.DataType.fromDDL(NODE_LIST), useArrow=True)(html)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body uses it.
+
+    Lambdas are evaluated per element, and so is whatever expression stands in them.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def has_class(node: Column, name: str) -> Column:
-    return F.array_contains(F.split(node["class"], r"\s+"), name)
+    return F.array_contains(node["classes"], name)
 
 
 def is_(tag: str, name: str | None = None, **attrs: str) -> Callable[[Column], Column]:
@@ -103,16 +112,19 @@ def is_(tag: str, name: str | None = None, **attrs: str) -> Callable[[Column], C
     return test
 
 
+def _behind(node: Column, start: Column) -> Column:
+    return F.coalesce(node["pos"] > start, F.lit(False))
+
+
+def _inside(node: Column, outer: Column) -> Column:
+    return _behind(node, outer["pos"]) & (node["pos"] <= outer["last"])
+
+
 def find_all(nodes: Column, test: Callable[[Column], Column], within: Column | None = None) -> Column:
     """Nodes passing the test, inside `within` if given; nothing is inside a missing node."""
     if within is None:
         return F.filter(nodes, test)
-    return F.filter(
-        nodes,
-        lambda n: F.coalesce(
-            test(n) & (n["pos"] > within["pos"]) & (n["pos"] <= within["last"]), F.lit(False)
-        ),
-    )
+    return bind(within, lambda w: F.filter(nodes, lambda n: _inside(n, w) & test(n)))
 
 
 def first(found: Column) -> Column:
@@ -125,18 +137,21 @@ def find(nodes: Column, test: Callable[[Column], Column], within: Column | None
 
 def next_after(nodes: Column, test: Callable[[Column], Column], node: Column) -> Column:
     """First passing node that starts behind the start of `node`."""
-    return first(F.filter(nodes, lambda n: F.coalesce(test(n) & (n["pos"] > node["pos"]), F.lit(False))))
+    return bind(
+        node["pos"], lambda start: first(F.filter(nodes, lambda n: _behind(n, start) & test(n)))
+    )
 
 
 def next_sibling(nodes: Column, test: Callable[[Column], Column], node: Column) -> Column:
     """First passing node behind `node` under the same parent."""
-    return first(
-        F.filter(
-            nodes,
-            lambda n: F.coalesce(
-                test(n) & (n["parent"] == node["parent"]) & (n["pos"] > node["last"]), F.lit(False)
-            ),
-        )
+    return bind(
+        node,
+        lambda b: first(
+            F.filter(
+                nodes,
+                lambda n: _behind(n, b["last"]) & (n["parent"] == b["parent"]) & test(n),
+            )
+        ),
     )
 
 
@@ -147,17 +162,26 @@ def descendants(
     within: Column | None = None,
 ) -> Column:
     """Nodes passing `inner` that lie inside some node passing `outer`, in document order."""
-    outers = find_all(nodes, outer, within)
-    return F.filter(
-        nodes,
-        lambda n: inner(n) & F.exists(outers, lambda o: (n["pos"] > o["pos"]) & (n["pos"] <= o["last"])),
+    return inside_any(nodes, inner, find_all(nodes, outer, within))
+
+
+def inside_any(nodes: Column, test: Callable[[Column], Column], outers: Column) -> Column:
+    """Nodes passing the test that lie inside one of the given nodes, in document order."""
+    return bind(
+        outers,
+        lambda os: F.filter(nodes, lambda n: test(n) & F.exists(os, lambda o: _inside(n, o))),
     )
 
 
 def text(nodes: Column, node: Column, sep: str = "") -> Column:
     """Stripped text pieces inside a node, joined; null for a missing node."""
-    pieces = F.transform(find_all(nodes, lambda n: n["tag"] == TEXT, node), lambda n: strip(n["text"]))
-    return F.when(node.isNotNull(), F.array_join(F.filter(pieces, lambda p: p != ""), sep))
+
+    def joined(n: Column) -> Column:
+        inner = F.filter(nodes, lambda t: _inside(t, n) & (t["tag"] == TEXT))
+        pieces = F.transform(inner, lambda t: strip(t["text"]))
+        return F.when(n.isNotNull(), F.array_join(F.filter(pieces, lambda p: p != ""), sep))
+
+    return bind(node, joined)
 
 
 def texts(nodes: Column, found: Column) -> Column:

@@ -93,8 +93,9 @@ also("join_runtime_band", "join_fuzzy_title")
         "SELECT * FROM p WHERE similarity >= 0.5",
         """, best AS (SELECT lt, lw, max(similarity) AS similarity FROM p
                       WHERE similarity >= 0.5 GROUP BY 1, 2),
-        pick AS (SELECT lt, lw, similarity, min(key_b) AS candidate
-                 FROM p JOIN best USING (lt, lw, similarity) GROUP BY 1, 2, 3)
+        pick AS (SELECT lt, p.lw, similarity, min(key_b) AS candidate
+                 FROM p JOIN best USING (lt, similarity)
+                 WHERE p.lw IS NOT DISTINCT FROM best.lw GROUP BY 1, 2, 3)
         SELECT id || ':' || sentence AS target, candidate, similarity
         FROM (SELECT DISTINCT id, sentence, """
         + f"{_COUNT} AS n_words, list_sort(list_distinct({_older('sentence')})) AS tokens "
@@ -241,7 +242,7 @@ _LABELS = f"""{_COMPONENTS},
                FROM (SELECT component, members, generate_subscripts(words, 1) AS pos,
                             unnest(words) AS w FROM placed) GROUP BY 1, 2, 3),
     broken AS (SELECT component, min(pos) AS pos FROM at_pos WHERE n < members OR d > 1 GROUP BY 1),
-    labels AS (SELECT component, string_agg(w, ' ' ORDER BY pos) AS label
+    labels AS (SELECT component, string_agg(w, ' ' ORDER BY at_pos.pos) AS label
                FROM at_pos LEFT JOIN broken USING (component)
                WHERE broken.pos IS NULL OR at_pos.pos < broken.pos GROUP BY 1)"""
 

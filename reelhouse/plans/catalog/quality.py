@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 from reelhouse.operators import quality
 from reelhouse.plans import standins
-from reelhouse.plans.catalog.registry import ORACLES, query
-from reelhouse.plans.catalog.sources import published_root
+from reelhouse.plans.catalog.registry import query
+from reelhouse.plans.catalog.sources import PUBLISHED_COUNTS, published_root
 from reelhouse.sources import sinks
 
 table = standins.table
@@ -60,7 +60,7 @@ def type_cast(spark, sf):
     return quality.cast_rejects(rows, {"v": T.IntegerType(), "flag": T.BooleanType()})
 
 
-@query("dq_all_or_nothing", ORACLES["sink_warehouse_publish"])
+@query("dq_all_or_nothing", PUBLISHED_COUNTS)
 def all_or_nothing(spark, sf):
     """A publish with nulls in a required column is refused; the earlier one stays."""
     root = published_root(spark, sf)

@@ -212,7 +212,7 @@ def csv_pipe(spark, sf):
 
 _ROOTS: dict[tuple[str, str], str] = {}
 
-_COUNTS = f"""
+PUBLISHED_COUNTS = f"""
     SELECT 'COMPANIES' AS table_name, count(*) AS "rows" FROM companies
     UNION ALL SELECT 'GENRES', count(*) FROM genres
     UNION ALL SELECT 'ROLES', count(*) FROM roles
@@ -237,14 +237,14 @@ def published_root(spark, sf) -> str:
     return _ROOTS[known]
 
 
-@query("sink_warehouse_publish", _COUNTS)
+@query("sink_warehouse_publish", PUBLISHED_COUNTS)
 def warehouse_publish(spark, sf):
     return sinks.row_counts(sinks.open_warehouse(spark, published_root(spark, sf)))
 
 
 @query(
     "sink_create_schema",
-    f"""SELECT c.table_name, CAST(0 AS BIGINT) AS rows_before, c."rows" AS rows_after FROM ({_COUNTS}) c""",
+    f"""SELECT c.table_name, CAST(0 AS BIGINT) AS rows_before, c."rows" AS rows_after FROM ({PUBLISHED_COUNTS}) c""",
 )
 def create_schema(spark, sf):
     """Empty tables first, then the same tables after the publish."""
