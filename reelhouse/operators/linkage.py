@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.functions.keys import composite_key
+from reelhouse.functions.keys import PART_SEPARATOR, composite_key
 from reelhouse.operators.filters import linkage_targets
 from reelhouse.operators.ranking import rank_within
 from reelhouse.operators.setjoin import GROUP_LIMIT, similar_sets
@@ -99,28 +99,37 @@ def copy_group(tokens: str, block: Sequence[str], bands: Sequence[Band]) -> Colu
 def copy_groups(
     rows: DataFrame, key: str, tokens: str, block: Sequence[str], bands: Sequence[Band]
 ) -> DataFrame:
-    """One row per group of copies: id, size, least key and what they agree on."""
+    """One row per group of copies: id, size, least key and what they agree on.
+
+    Materialised, since ordering, pairing and scoring all start from it.
+    """
     fields = _fields(bands, block)
-    return rows.groupBy(copy_group(tokens, block, bands).alias("id"), tokens, *fields).agg(
-        F.count(F.lit(1)).alias("n"), F.min(key).alias("least_key")
+    return cut_lineage(
+        rows.groupBy(copy_group(tokens, block, bands).alias("id"), tokens, *fields).agg(
+            F.count(F.lit(1)).alias("n"), F.min(key).alias("least_key")
+        )
     )
 
 
 def _blocked(
     groups: DataFrame, tokens: str, block: Sequence[str], bands: Sequence[Band], asking: bool
 ) -> DataFrame:
-    out = groups
-    keys = []
-    for i, band in enumerate(bands):
-        out = out.withColumn(f"_band{i}", F.explode(band.keys(F.col(band.column), asking)))
-        keys.append(F.col(f"_band{i}"))
+    lists = [b.keys(F.col(b.column), asking) for b in bands]
+    # Every combination of one key per band, the exact block in front.
+    combined = F.array(composite_key(*block) if block else F.lit(""))
+    for keys in lists:
+        combined = _combinations(combined, keys)
     attrs = F.struct(*[F.col(b.column) for b in bands], F.lit(0).alias("_"))
-    return out.select(
-        composite_key(*block, *keys).alias("block") if block or keys else F.lit("").alias("block"),
-        "id",
-        F.col(tokens).alias("tokens"),
-        attrs.alias("attrs"),
+    return groups.select(
+        combined.alias("blocks"), "id", F.col(tokens).alias("tokens"), attrs.alias("attrs")
+    )
+
+
+def _combinations(prefixes: Column, keys: Column) -> Column:
+    pairs = F.transform(
+        prefixes, lambda p: F.transform(keys, lambda k: F.concat_ws(PART_SEPARATOR, p, k))
     )
+    return F.flatten(pairs)
 
 
 def similar_groups(

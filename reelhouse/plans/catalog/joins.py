@@ -184,7 +184,7 @@ def similarity_self(spark, sf):
     """Pairs of distinct token sets of one type with Jaccard ≥ 0.2."""
     sets = _sets(spark, sf)
     side = sets.select(
-        F.col("_block").alias("block"),
+        F.array("_block").alias("blocks"),
         F.col("_set").alias("id"),
         F.col("_tokens").alias("tokens"),
         F.lit(0).alias("attrs"),
