@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.functions.text import strip
+from reelhouse.functions.text import bind, strip
 
 NODE_LIST = (
     "array<struct<pos:int,last:int,parent:int,tag:string,class:string,"
@@ -86,14 +86,6 @@ def parse(html: Column) -> Column:
     return F.udf(_flatten, T.DataType.fromDDL(NODE_LIST), useArrow=True)(html)
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with the value computed once, however often the body uses it.
-
-    Lambdas are evaluated per element, and so is whatever expression stands in them.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def has_class(node: Column, name: str) -> Column:
     return F.array_contains(node["classes"], name)
 

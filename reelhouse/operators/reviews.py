@@ -205,7 +205,7 @@ def section_maps(first: DataFrame, media: list[str], order: str = "rank") -> Dat
     """
     lists = first.groupBy(*media, "section_name", F.col("review.isCritic").alias("_critic")).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("review").alias("r")))),
+            F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col("review").alias("r")))),
             lambda x: x["r"],
         ).alias("_reviews")
     )
