@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelhouse.operators import quality
+from reelhouse.operators import graph, quality
 from reelhouse.schemas import WAREHOUSE
 
 POINTER = "CURRENT"
@@ -80,6 +81,47 @@ def _swap_pointer(spark: SparkSession, root: str, version: str) -> None:
         raise OSError(f"could not swap {POINTER} below {root}")
 
 
+def upsert_graph(spark: SparkSession, nodes: DataFrame, links: DataFrame, root: str) -> str:
+    """Merge node and link rows into the stored graph; returns the new version.
+
+    Plain files know no MERGE: the merged graph is written beside the current one,
+    by label, and the pointer moves when both tables are complete.
+    """
+    old = current_version(spark, root)
+    old_nodes = old_links = None
+    if old is not None:
+        old_nodes = _graph_table(spark, root, old, "nodes")
+        old_links = _graph_table(spark, root, old, "links").withColumnRenamed(graph.ATTRS, "attrs")
+    version = uuid.uuid4().hex
+    merged = graph.upsert_nodes(nodes, old_nodes)
+    merged.write.partitionBy(graph.NODE[0]).parquet(f"{root}/{version}/nodes")
+    stored = _graph_table(spark, root, version, "nodes")
+    final = graph.upsert_links(links, stored, old_links)
+    final.write.partitionBy(graph.LINK[2]).parquet(f"{root}/{version}/links")
+    _swap_pointer(spark, root, version)
+    return version
+
+
+def open_graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no graph below {root}")
+    return tuple(_graph_table(spark, root, version, t) for t in ("nodes", "links"))
+
+
+def _graph_table(spark: SparkSession, root: str, version: str, name: str) -> DataFrame:
+    columns = [*graph.NODE, "attrs"] if name == "nodes" else [*graph.LINK, graph.ATTRS]
+    schema = T.StructType(
+        [
+            T.StructField(c, T.MapType(T.StringType(), T.StringType()))
+            if c in ("attrs", graph.ATTRS)
+            else T.StructField(c, T.StringType())
+            for c in columns
+        ]
+    )
+    return spark.read.schema(schema).parquet(f"{root}/{version}/{name}").select(*columns)
+
+
 def csv_pipe(df: DataFrame, path: str, ids: Sequence[str] = ("id",), sep: str = "|") -> None:
     """UTF-8 delimited files with header, id columns first."""
     rest = [c for c in df.columns if c not in set(ids)]

@@ -49,8 +49,3 @@ def ingest_new_files(
 
 def ingested(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop(BATCH)
-
-
-def new_items(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Batch form: the items whose key was not processed before."""
-    return items.join(done.select(key).distinct(), key, "left_anti")

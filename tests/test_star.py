@@ -114,3 +114,26 @@ def test_link_to_a_missing_node_is_dropped(spark):
         "_GRAPH_TRGT_LABEL string, _GRAPH_TRGT_NODE_ID string, attrs map<string,string>, seq int")
     got = graph.upsert_links(links, graph.upsert_nodes(nodes)).collect()
     assert [(r._GRAPH_TRGT_NODE_ID, r[graph.ATTRS]) for r in got] == [("g", {"k": "2"})]
+
+
+def test_stored_graph_is_merged_run_by_run(spark, tmp_path):
+    root = str(tmp_path)
+    link_ddl = (
+        "_GRAPH_SRC_LABEL string, _GRAPH_SRC_NODE_ID string, _GRAPH_LINK_LABEL string, "
+        "_GRAPH_TRGT_LABEL string, _GRAPH_TRGT_NODE_ID string, attrs map<string,string>, seq int"
+    )
+
+    def link(target, attrs):
+        return ("M", "x", "has", "G", target, attrs, 1)
+
+    first_nodes = spark.createDataFrame([("M", "x", {"a": "1"}, 1), ("G", "g", {}, 1)], NODE_DDL)
+    first_links = spark.createDataFrame([link("g", {"k": "1", "l": "1"}), link("h", {})], link_ddl)
+    sinks.upsert_graph(spark, first_nodes, first_links, root)
+    more_nodes = spark.createDataFrame([("M", "x", {"a": "2"}, 1), ("G", "h", {}, 1)], NODE_DDL)
+    more_links = spark.createDataFrame([link("g", {"k": "2"}), link("h", {})], link_ddl)
+    sinks.upsert_graph(spark, more_nodes, more_links, root)
+    nodes, links = sinks.open_graph(spark, root)
+    assert {(r[0], r[1]): r.attrs for r in nodes.collect()} == {
+        ("M", "x"): {"a": "2"}, ("G", "g"): {}, ("G", "h"): {}}
+    assert {r._GRAPH_TRGT_NODE_ID: r[graph.ATTRS] for r in links.collect()} == {
+        "g": {"k": "2", "l": "1"}, "h": {}}
