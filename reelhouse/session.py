@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in this package expects.  All of them can be
@@ -17,18 +22,43 @@ RUNTIME_CONF = {
     # Split a skewed key even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Shuffle files go when the query that wrote them has ended.
+    "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark.sparkContext)
     return spark
 
 
+def ship_package(sc: SparkContext) -> None:
+    """Send this package to the executors, once per application.
+
+    Python workers import it by name, and only the driver has it on its path.
+    """
+    if sc.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    # Spark copies the file to its own server at once, so the local one can go.
+    handle, path = tempfile.mkstemp(prefix="reelhouse-", suffix=".zip")
+    with os.fdopen(handle, "wb") as out:
+        out.write(packed.getvalue())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench."""
     builder = (
@@ -66,6 +96,16 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` as Parquet below the shared folder and read it back.
+
+    Columnar and compressed, and a lost executor costs no replay of what came before.
+    """
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, so a lost executor costs no replay."""
     sc = df.sparkSession.sparkContext
