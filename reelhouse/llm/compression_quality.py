@@ -32,7 +32,7 @@ from reelhouse.llm.common import whole
 PER_CLASS = 3000
 MAX_CHARS = 40_000
 DICTIONARY_BYTES = 112_640
-BLOCK = 4096
+BLOCK = 512
 LEVEL = 3
 
 
