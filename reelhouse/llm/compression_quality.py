@@ -52,14 +52,14 @@ class QualityModel:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """(doc_id, text, label) of the rows that may teach: labelled, not held out, with a text."""
+    """The rows that may teach, with their `label`: labelled, not held out, with a text."""
     known = labels.select(
         F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")
     ).where("label in (0, 1)")
     return (
         docs.where(~held_out("doc_id") & F.col("text").isNotNull())
         .join(known, F.col("doc_id") == F.col("_id"))
-        .select("doc_id", "text", "label")
+        .drop("_id")
     )
 
 
@@ -78,26 +78,17 @@ def fit(
     """Train on a bounded sample of the labelled rows that are not held out."""
     spark = docs.sparkSession
     order = F.xxhash64("doc_id")
-    taught = labelled(docs, labels, label)
     # Ids first, so that no task carries texts that are not picked.
     short = docs.where(F.char_length("text") <= max_chars)
+    known = labelled(short, labels, label).select("doc_id", "label").distinct()
     ids: list[tuple] = []
     for value in (0, 1):
-        ids += (
-            labelled(short.select("doc_id", F.lit("").alias("text")), labels, label)
-            .where(F.col("label") == value)
-            .select("doc_id")
-            .distinct()
-            .orderBy(order, "doc_id")
-            .limit(per_class)
-            .collect()
-        )
+        ids += known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class).collect()
     if not ids:
         return QualityModel(b"", b"", 0.0, 0.0, 0.5)
-    picked = spark.createDataFrame(ids, short.select("doc_id").schema)
+    picked = spark.createDataFrame(ids, known.schema)
     rows = (
-        taught.where(F.char_length("text") <= max_chars)
-        .join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
+        short.join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
         .select(order.alias("h"), "text", "label")
         .collect()
     )
