@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import compression_quality, simhash_trie
+from reelhouse.llm import compression_quality, mixing, simhash_trie, warc
 from reelhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,36 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.decide(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+@query(
+    "op7_warc",
+    """
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END
+             AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+    FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                 sha256(coalesce(html, '')) AS payload_digest,
+                 min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+          FROM pages)
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it reads back from the deduplicated archive."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op8_simhash_trie")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by fingerprints that differ in two bits at most."""
