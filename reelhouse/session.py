@@ -23,7 +23,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Shuffle files go when the query that wrote them has ended.
-    "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
@@ -51,7 +50,7 @@ def ship_package(sc: SparkContext) -> None:
     with zipfile.ZipFile(packed, "w") as archive:
         for source in sorted(root.rglob("*.py")):
             archive.write(source, source.relative_to(root.parent))
-    # Spark copies the file to its own server at once, so the local one can go.
+    # The driver serves the file to executors for as long as the application runs.
     handle, path = tempfile.mkstemp(prefix="reelhouse-", suffix=".zip")
     with os.fdopen(handle, "wb") as out:
         out.write(packed.getvalue())
