@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import compression_quality, mixing, simhash_trie, warc
+from reelhouse.llm import compression_quality, mixing, simhash_trie, url_filter, warc
 from reelhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,24 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+URL_RULES = [
+    url_filter.parse_rule("net/", "block"),
+    url_filter.parse_rule("example.net/en/", "allow"),
+    url_filter.parse_rule("example.com/de/", "block"),
+    url_filter.parse_rule("org/fr/", "allow"),
+]
+
+
+@query("op2_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's url; the labelled table is what the rules decide."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.rule_labelled(pages, URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 @query("op4_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
