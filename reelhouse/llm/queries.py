@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import compression_quality, mixing, simhash_trie, url_filter, warc
-from reelhouse.llm.common import table
+from reelhouse.llm import (
+    compression_quality,
+    decontamination,
+    mixing,
+    simhash_trie,
+    syncmers,
+    url_filter,
+    warc,
+)
+from reelhouse.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +34,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_syncmers")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    pairs = syncmers.edited_pairs(table(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        sha256_hex(F.col("edited")).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        syncmers.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        syncmers.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
 URL_RULES = [
     url_filter.parse_rule("net/", "block"),
     url_filter.parse_rule("example.net/en/", "allow"),
@@ -44,6 +67,53 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_decontamination",
+    r"""
+    WITH texts AS (
+      SELECT 'd' AS kind, doc_id AS id, text FROM documents
+      UNION ALL SELECT 'b', item_id, text FROM benchmark
+    ), words AS (
+      SELECT kind, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM texts
+    ), item_windows AS (
+      SELECT DISTINCT id AS item_id, least(13, len(w)) AS m,
+             list_slice(w, i, i + least(13, len(w)) - 1) AS run
+      FROM (SELECT id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+            FROM words WHERE kind = 'b' AND len(w) > 0)
+    ), lengths AS (SELECT DISTINCT m FROM item_windows),
+    doc_runs AS (
+      SELECT id AS doc_id, m, i, list_slice(w, i, i + m - 1) AS run
+      FROM (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+            FROM words JOIN lengths ON len(w) >= m WHERE kind = 'd')
+    ), hits AS (
+      SELECT doc_id, item_id, d.m, i FROM doc_runs d JOIN item_windows b USING (run)
+    ), covered AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hits) GROUP BY doc_id
+    ), listed AS (
+      SELECT doc_id, count(*) AS n_items,
+             string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id
+    )
+    SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM words LEFT JOIN covered ON id = covered.doc_id LEFT JOIN listed ON id = listed.doc_id
+    WHERE kind = 'd'
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    return decontamination.digests(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @query("op4_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
