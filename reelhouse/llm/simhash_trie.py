@@ -88,12 +88,10 @@ def link_forest(fps: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIM
     `fps` has one column `fp`, distinct. Two fingerprints are connected by the edges exactly if a
     chain of links joins them.
     """
-    bits = F.lit(0)
-    # A node is (depth, path); the root is one node with everything below it.
-    frontier = fps.sparkSession.createDataFrame([(0, 0, 0)], "a long, b long, diff int")
     found: DataFrame | None = None
-    for depth in range(0, BITS + 1, STRIDE):
-        path = F.shiftrightunsigned("fp", BITS - depth) if depth else bits.cast("long")
+    frontier = _children_pairs(fps, None, STRIDE, budget)
+    for depth in range(STRIDE, BITS + 1, STRIDE):
+        path = F.shiftrightunsigned("fp", BITS - depth)
         counts = fps.groupBy(path.alias("node")).agg(F.count(F.lit(1)).alias("size"))
         sized = (
             frontier.join(counts.select(F.col("node").alias("a"), F.col("size").alias("size_a")), "a")
@@ -122,29 +120,38 @@ def link_forest(fps: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIM
         found = here if found is None else found.unionByName(here)
         if large.isEmpty():
             break
-        child = F.shiftrightunsigned("fp", BITS - depth - STRIDE)
-        children = fps.select(path.alias("parent"), child.alias("node")).distinct()
-        masks = F.array(
-            *(F.struct(F.lit(m).alias("mask"), F.lit(m.bit_count()).alias("more")) for m in range(1 << STRIDE) if m.bit_count() <= budget)
-        )
-        own = F.col("node_a").bitwiseAND(F.lit((1 << STRIDE) - 1))
-        frontier = staged(
-            large.join(children.select(F.col("parent").alias("a"), F.col("node").alias("node_a")), "a")
-            .select("a", "b", "diff", "node_a", F.inline(masks))
-            .withColumn("diff", F.col("diff") + F.col("more"))
-            .where(F.col("diff") <= budget)
-            .withColumn("node_b", F.shiftleft("b", STRIDE).bitwiseOR(own.bitwiseXOR(F.col("mask"))))
-            # Below one and the same node, each pair of children is met from either side.
-            .where((F.col("a") != F.col("b")) | _not_above(F.col("node_a"), F.col("node_b")))
-            .join(children.select(F.col("node").alias("node_b")), "node_b", "left_semi")
-            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "diff"),
-            "trie",
-        )
+        frontier = _children_pairs(fps, large, depth + STRIDE, budget)
     return found
 
 
-def _not_above(a: Column, b: Column) -> Column:
-    return a <= b
+def _children_pairs(
+    fps: DataFrame, parents: DataFrame | None, depth: int, budget: int
+) -> DataFrame:
+    """(a, b, diff): pairs of nodes at `depth` below the pairs `parents`, or below the root."""
+    nodes = fps.select(F.shiftrightunsigned("fp", BITS - depth).alias("node")).distinct()
+    low = F.lit((1 << STRIDE) - 1)
+    masks = F.array(
+        *(
+            F.struct(F.lit(m).alias("mask"), F.lit(m.bit_count()).alias("more"))
+            for m in range(1 << STRIDE)
+            if m.bit_count() <= budget
+        )
+    )
+    if parents is None:
+        above = nodes.select("node", F.lit(0).alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("diff"))
+    else:
+        above = nodes.withColumn("a", F.shiftrightunsigned("node", STRIDE)).join(parents, "a")
+    other = F.shiftleft("b", STRIDE).bitwiseOR(F.col("node").bitwiseAND(low).bitwiseXOR(F.col("mask")))
+    met = (
+        above.select("node", "a", "b", "diff", F.inline(masks))
+        .withColumn("diff", F.col("diff") + F.col("more"))
+        .where(F.col("diff") <= budget)
+        .withColumn("other", other)
+        # Below one and the same node, each pair of children is met from either side.
+        .where((F.col("a") != F.col("b")) | (F.col("node") <= F.col("other")))
+        .join(nodes.select(F.col("node").alias("other")), "other", "left_semi")
+    )
+    return staged(met.select(F.col("node").alias("a"), F.col("other").alias("b"), "diff"), "trie")
 
 
 def _walker(depth: int, budget: int):
