@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.session import configure
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; Arrow batches are kept small, since a text may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

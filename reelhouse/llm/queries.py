@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from reelhouse.llm import (
     mixing,
     simhash_trie,
     syncmers,
+    token_file,
     url_filter,
     warc,
 )
@@ -161,3 +163,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         model.score("text").alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op10_token_file")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it reads back from the token file."""
+    return token_file.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)

@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,7 +244,8 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, node_limit: int = NOD
 def components_of(
     prints: DataFrame, budget: int = BUDGET, node_limit: int = NODE_LIMIT
 ) -> DataFrame:
-    """`prints` (doc_id, fp, ...) with the least doc_id of each row's component."""
+    """`prints` (doc_id, fp, ...) with `component`, the least fingerprint of each row's component, and
+    `component_id`, its least doc_id."""
     least = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash")
     edges = staged(link_forest(least.select("fp"), budget, node_limit).distinct(), "simhash")
     reached = connected_components(edges, "u", "v")
@@ -255,9 +257,25 @@ def components_of(
         .join(named, "component", "left")
         .select(
             "fp",
+            F.coalesce("component", "fp").alias("component"),
             F.when(F.col("component").isNull(), F.col("least"))
             .otherwise(F.col("component_id"))
             .alias("component_id"),
         )
     )
     return prints.join(final, "fp")
+
+
+def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """One document of each component: the one with the least id, of repeated ids the least fingerprint."""
+    marked = staged(docs.withColumn("_fp", fingerprint_column("text")), "simhash-docs")
+    grouped = components_of(marked.select("doc_id", F.col("_fp").alias("fp")), budget)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("first")
+    kept = grouped.groupBy("component").agg(first).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.fp").alias("_kept")
+    )
+    found = marked.join(
+        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_kept"))
+    )
+    same = W.partitionBy("doc_id", "_fp").orderBy(F.xxhash64("text"))
+    return found.withColumn("_row", F.row_number().over(same)).where("_row = 1").select(*docs.columns)
