@@ -76,7 +76,7 @@ def windows(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, list[int]]
         return spark.createDataFrame([], "h long, length int, run string, items array<string>"), []
     hashed, names = with_run_hashes(read, lengths)
     own = F.coalesce(*(F.when(F.col("_length") == n, F.col(names[n])) for n in lengths))
-    each = hashed.select("item_id", "_length", "_words", F.posexplode(own).alias("_at", "h"))
+    each = hashed.select("item_id", "_length", "_words", F.posexplode_outer(own).alias("_at", "h"))
     run = F.concat_ws(" ", F.slice("_words", F.col("_at") + 1, F.col("_length")))
     return (
         each.groupBy("h", F.col("_length").alias("length"), run.alias("run")).agg(
@@ -99,7 +99,9 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     read = with_words(docs.select("doc_id", "text"))
     read = read.select("doc_id", F.xxhash64(whole("text")).alias("_text"), "_words")
     hashed, names = with_run_hashes(read, lengths)
-    # The first element stands for the document itself and matches no window.
+    # The first element stands for the document itself and matches no window, so the array is never
+    # empty. The outer form of explode keeps Spark from testing that below the projections, where it
+    # would compute every hash again for the test.
     runs = F.concat(
         F.array(F.lit(None).cast("long")), *(F.col(names[k]) for k in lengths)
     )
@@ -110,7 +112,7 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
         F.size("_words").cast("long").alias("n_words"),
         runs.alias("_runs"),
     )
-    each = scanned.select("doc_id", "_text", "_words", "n_words", F.posexplode("_runs").alias("_at", "_h"))
+    each = scanned.select("doc_id", "_text", "_words", "n_words", F.posexplode_outer("_runs").alias("_at", "_h"))
     # Where the runs of a length begin in the joined array.
     start, before = F.lit(None).cast("long"), F.lit(1).cast("long")
     for k in lengths:
