@@ -12,6 +12,7 @@ from reelhouse.llm import (
     compression_quality,
     decontamination,
     mixing,
+    repeats,
     simhash_trie,
     syncmers,
     token_file,
@@ -128,6 +129,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps once all bytes in repeated strings of 400 are gone."""
+    return repeats.cut_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 @query(
     "op7_warc",
     """
