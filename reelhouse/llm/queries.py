@@ -12,6 +12,7 @@ from reelhouse.llm import (
     compression_quality,
     decontamination,
     mixing,
+    personal_data,
     repeats,
     simhash_trie,
     syncmers,
@@ -129,6 +130,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document, by rule and with those the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, personal_data.fit(docs))
+    return found.select(
+        "doc_id",
+        *(F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in personal_data.KINDS),
+        sha256_hex(personal_data.listed("base")).alias("base_sha256"),
+        personal_data.listed("all").alias("spans"),
+    )
+
+
 @query("op6_repeats")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps once all bytes in repeated strings of 400 are gone."""
