@@ -8,9 +8,11 @@ decoded by itself. Blocks are rows of Parquet, so Spark's committer keeps half-w
 split them.
 
 The tokenizer's words are cached by their text: what stands between two blanks is always
-tokenised alone by byte-level pre-tokenizers, so only words a worker has not met are encoded. Texts
+tokenised alone by byte-level pre-tokenizers, so only words a worker has not met are encoded, letters alone
+by the tokenizer's model without its pre-tokenizer. Texts
 with runs of blanks are cut only where a blank follows a non-blank; texts that hold a special token, and
-tokenizers of another kind, are encoded as a whole. The cache holds `CACHE_WORDS` words.
+tokenizers of another kind, are encoded as a whole. The cache holds
+`CACHE_WORDS` words and begins anew when it is full.
 
 Defined cases: null and empty texts are the end id alone. Null ids come first; rows that share an id are
 ordered by their text, and repeated rows are written as often as they come. An empty corpus has no blocks. Extra columns
@@ -37,7 +39,7 @@ from reelhouse.session import run_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 
 _ENCODERS: dict[str, Encoder] = {}
 _SPACED = re.compile(r"\s ")
@@ -58,58 +60,66 @@ class Encoder:
         self.by_words = (
             isinstance(pre, pre_tokenizers.ByteLevel)
             and not pre.add_prefix_space
+            and pre.use_regex
             and self.tokenizer.normalizer is None
         )
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if max(size, END_ID + 1) <= 1 << 16 else np.dtype("<u4")
         self.end = np.array([END_ID], self.dtype).tobytes()
+        # Words that begin a text, and words after a blank, kept without it.
+        self.heads: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
+        alphabet = pre_tokenizers.ByteLevel.alphabet()
+        plain = [b for b in range(256) if chr(b) in alphabet]
+        others = [b for b in range(256) if chr(b) not in alphabet]
+        # Byte-level vocabularies write a byte as itself if it prints, else as a letter from 256 on.
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian, with the end id."""
-        cut = [self._words(t) for t in texts]
-        known = self.cache
-        missing = set()
-        for words in cut:
-            missing.update(w for w in words if w not in known)
-        if missing:
-            found = self._encode(missing)
-            if len(known) + len(found) <= CACHE_WORDS:
-                known.update(found)
-            else:
-                known = {**found, **{w: known[w] for ws in cut for w in ws if w in known}}
-        get = known.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in cut]
+        if len(self.heads) + len(self.cache) > CACHE_WORDS:
+            self.heads.clear()
+            self.cache.clear()
+        heads, rests = [], []
+        for text in texts:
+            head, *rest = self._words(text)
+            heads.append(head)
+            rests.append(rest)
+        self._learn(self.heads, set(heads).difference(self.heads), "")
+        self._learn(self.cache, set().union(*rests).difference(self.cache), " ")
+        get, end = self.cache.__getitem__, self.end
+        return [self.heads[h] + b"".join(map(get, rest)) + end for h, rest in zip(heads, rests)]
 
     def _words(self, text: str) -> list[str]:
+        """The first word, and those after a blank without it; or the whole text alone."""
         if not self.by_words or any(s in text for s in self.special):
             return [text]
         if _SPACED.search(text):
-            return _BOUNDARY.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + w for w in rest)]
+            first, *rest = _BOUNDARY.split(text)
+            return [first, *(w[1:] for w in rest)]
+        return text.split(" ")
 
-    def _encode(self, words: set[str]) -> dict[str, bytes]:
-        """Punctuation after letters is a token run of its own, so it is looked up apart."""
-        split, parts = {}, set()
+    def _learn(self, known: dict[str, bytes], words: set[str], blank: str) -> None:
+        """Letters alone go to the model at once; punctuation after them is a run of its own."""
+        others = []
         for w in words:
-            stem = w.rstrip(_PUNCTUATION)
-            if self.by_words and len(stem) < len(w) and stem[:1] == " " and stem[1:].isalpha():
-                split[w] = (stem, w[len(stem) :])
-                parts.update(split[w])
+            stem = w.rstrip(_PUNCTUATION) if self.by_words else ""
+            if stem and stem.isalpha():
+                ids = known.get(stem) or self._model_ids(blank + stem)
+                known[w] = ids + self._model_ids(w[len(stem) :]) if len(stem) < len(w) else ids
             else:
-                parts.add(w)
-        new = [p for p in parts if p not in self.cache]
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(new, encoded)}
-
-        def of(part: str) -> bytes:
-            return found[part] if part in found else self.cache[part]
+                others.append(w)
+        encoded = self.tokenizer.encode_batch_fast(
+            [blank + w for w in others], add_special_tokens=False
+        )
+        for w, e in zip(others, encoded):
+            known[w] = np.array(e.ids, self.dtype).tobytes()
 
-        for w, (stem, tail) in split.items():
-            found[w] = of(stem) + of(tail)
-        return found
+    def _model_ids(self, run: str) -> bytes:
+        """Ids of a run that the pre-tokenizer would not cut."""
+        as_letters = run.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(as_letters)], self.dtype).tobytes()
 
 
 def _encoder(path: str) -> Encoder:
