@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelhouse.functions.text import strip
 from reelhouse.functions.values import NULL_MARKER, numeric_or_null, within_or_unknown
@@ -20,8 +21,8 @@ LINKABLE_TITLE_TYPES = ("movie", "tvSeries", "tvMiniSeries")
 def catalogue_acceptable(titles: DataFrame, years: DataFrame) -> DataFrame:
     """Titles of a linkable type and target year whose title says something.
 
-    `years(year int)` is bounded (see `entities.year_set`), so it is broadcast and
-    the scan is never shuffled. `startYear` comes out as int.
+    `years(year int)` comes from `entities.year_set`; Spark broadcasts it by its measured
+    size. `startYear` comes out as int.
     """
     start = numeric_or_null(F.col("startYear")).cast("int")
     title = F.nullif(strip(F.col("primaryTitle")), F.lit(NULL_MARKER))
@@ -30,7 +31,7 @@ def catalogue_acceptable(titles: DataFrame, years: DataFrame) -> DataFrame:
         & (title != "")
         & (F.length("primaryTitle") > 1)
     ).withColumn("startYear", start)
-    return kept.join(F.broadcast(years), kept["startYear"] == years["year"], "left_semi")
+    return kept.join(years, kept["startYear"] == years["year"], "left_semi")
 
 
 def _allowed(values: object) -> list:
@@ -74,11 +75,6 @@ def membership(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(keys.select(on).distinct(), on, "left_semi")
 
 
-def not_processed(df: DataFrame, done: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is not in a computed set."""
-    return df.join(done.select(on).distinct(), on, "left_anti")
-
-
 def linkage_targets(media: DataFrame) -> DataFrame:
     """Media that can be looked up in the catalogue: no games, year known."""
     return media.where((F.col("media_type") != "Video Game") & F.col("release_year").isNotNull())
@@ -101,14 +97,18 @@ def row_callback(
 ) -> DataFrame:
     """Opaque Python predicate (True keeps) and row mapper, in Arrow batches.
 
-    Only for callbacks that cannot be written as columns.
+    Callbacks see plain Python values: integers of any size stay integers, null is None. Only for
+    callbacks that cannot be written as columns.
     """
+    out_schema = df.schema if schema is None else schema
+    if isinstance(out_schema, str):
+        out_schema = T.StructType.fromDDL(out_schema)
+    arrow = to_arrow_schema(out_schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for r in batch.to_dict("records") if keep is None or keep(r)]
+            rows = [r for r in batch.to_pylist() if keep is None or keep(r)]
             out = [convert(r) for r in rows] if convert else rows
-            if out:
-                yield pd.DataFrame(out)
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
-    return df.mapInPandas(run, schema or df.schema)
+    return df.mapInArrow(run, out_schema)

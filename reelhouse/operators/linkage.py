@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import PART_SEPARATOR, composite_key
-from reelhouse.operators.filters import linkage_targets
 from reelhouse.operators.ranking import rank_within
 from reelhouse.operators.setjoin import GROUP_LIMIT, similar_sets
 from reelhouse.session import cut_lineage
@@ -74,19 +73,6 @@ def year_band(left: DataFrame, right: DataFrame, a: str, b: str, width: int = 1)
     return near.join(right, F.col("join_year") == F.col(b))
 
 
-def media_targets(media: DataFrame, width: int = 1) -> DataFrame:
-    """Linkage targets, one row per year a match may carry."""
-    return linkage_targets(media).select(
-        F.col("id").alias("target_id"),
-        F.col("primary_title").alias("target_title"),
-        F.col("release_year").alias("target_year"),
-        F.explode(F.sequence(F.col("release_year") - width, F.col("release_year") + width)).alias(
-            "join_year"
-        ),
-        F.col("duration").alias("target_runtime"),
-    )
-
-
 def _fields(bands: Sequence[Band], block: Sequence[str]) -> list[str]:
     return [*block, *[b.column for b in bands]]
 

@@ -183,25 +183,21 @@ def first_reviews(
     reviews: DataFrame,
     section: list[str],
     order: str,
-    limit: int = REVIEWS_PER_SECTION,
+    limit: int | None = None,
     per_page: int = REVIEWS_PER_PAGE,
 ) -> DataFrame:
-    """First `limit` reviews per section with their rank and page; see `limit_per_group`."""
+    """Reviews per section with their rank and page; with a `limit`, only the first so many."""
     rank = F.row_number().over(W.partitionBy(*section).orderBy(order))
-    ranked = reviews.withColumn("rank", rank).where(F.col("rank") <= limit)
+    ranked = reviews.withColumn("rank", rank)
+    if limit is not None:
+        ranked = ranked.where(F.col("rank") <= limit)
     return ranked.withColumn("page", F.floor((F.col("rank") - 1) / per_page).cast("int"))
 
 
-def section_key(category: Column, display: Column, slug: Column) -> Column:
-    """Name a section goes by: platform display name, season slug, or the only one."""
-    return F.when(category == "GAMES", display).when(category == "TV_SHOWS", slug).otherwise("_default")
-
-
 def section_maps(first: DataFrame, media: list[str], order: str = "rank") -> DataFrame:
     """Attach reviews per section: (media, critic_reviews, user_reviews).
 
-    `first` holds at most a page-limited number of reviews per section
-    (`first_reviews`), so the collected lists are bounded.
+    A list holds all reviews of one document's section, as the document will.
     """
     lists = first.groupBy(*media, "section_name", F.col("review.isCritic").alias("_critic")).agg(
         F.transform(

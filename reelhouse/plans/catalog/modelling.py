@@ -72,7 +72,7 @@ also("set_union_companies", "prj_companies")
            CASE category WHEN 'GAMES' THEN 'Platform' WHEN 'TV_SHOWS' THEN 'Season'
                 ELSE 'Display' END AS section_type,
            section_name
-    FROM docs JOIN first_reviews ON media_info_id = """
+    FROM order_docs JOIN doc_reviews USING (order_key) WHERE media_info_id = """
     + key("p_partkey"),
 )
 def review_rows(spark, sf):
@@ -84,7 +84,7 @@ def review_rows(spark, sf):
     """
     SELECT p_partkey, CASE WHEN is_critic THEN 0 ELSE 1 END AS source, section_name,
            rank - 1 AS pos, reviewer_username AS author, rating
-    FROM docs JOIN first_reviews ON media_info_id = """
+    FROM order_docs JOIN doc_reviews USING (order_key) WHERE media_info_id = """
     + key("p_partkey"),
 )
 def union_reviews(spark, sf):
@@ -103,9 +103,10 @@ def union_reviews(spark, sf):
     "agg_review_count",
     """
     SELECT p_partkey, CAST(count(media_info_id) AS INTEGER) AS reviews
-    FROM docs LEFT JOIN first_reviews ON media_info_id = """
+    FROM order_docs d LEFT JOIN doc_reviews r
+      ON d.order_key = r.order_key AND media_info_id = """
     + key("p_partkey")
-    + " GROUP BY 1",
+    + " GROUP BY p_partkey, d.order_key",
 )
 def review_count(spark, sf):
     docs = standins.documents(spark, sf, with_reviews=True)
@@ -287,7 +288,10 @@ def fk_remap(spark, sf):
 )
 def reviews_per_section(spark, sf):
     first = reviews.first_reviews(
-        standins.structured_reviews(spark, sf), ["media_info_id", "section_name", "is_critic"], "seq"
+        standins.structured_reviews(spark, sf),
+        ["media_info_id", "section_name", "is_critic"],
+        "seq",
+        limit=reviews.REVIEWS_PER_SECTION,
     )
     return first.select(
         "media_info_id", "section_name", "is_critic", "rank", "page",
@@ -330,7 +334,8 @@ def merge_rows(spark, sf):
     SELECT p_partkey, section_name, is_critic, CAST(count(*) AS INTEGER) AS reviews,
            arg_min(reviewer_username, rank) AS first_author,
            arg_max(reviewer_username, rank) AS last_author
-    FROM docs JOIN first_reviews ON media_info_id = {key("p_partkey")} GROUP BY 1, 2, 3""",
+    FROM order_docs JOIN doc_reviews USING (order_key)
+    WHERE media_info_id = {key("p_partkey")} GROUP BY 1, 2, 3, order_key""",
 )
 def section_reviews(spark, sf):
     docs = standins.documents(spark, sf, with_reviews=True)

@@ -225,8 +225,8 @@ LISTING = (
 @query(
     "ext_listing_links",
     """SELECT p_partkey AS page_id, CAST(pos AS INTEGER) AS pos, CASE pos WHEN 0 THEN split_part(p_name, ' ', 1) || '-' || p_size
-              WHEN 1 THEN split_part(p_name, ' ', 2) ELSE p_brand END AS slug
-    FROM part, (VALUES (0), (1), (2)) AS v(pos)""",
+              WHEN 1 THEN split_part(p_name, ' ', 2) WHEN 2 THEN p_brand ELSE 'third' END AS slug
+    FROM part, (VALUES (0), (1), (2), (3)) AS v(pos)""",
 )
 def listing_links(spark, sf):
     return _built(spark, sf, LISTING).select(

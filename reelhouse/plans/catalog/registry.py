@@ -42,7 +42,7 @@ def key(*parts: str) -> str:
 
 _CTES = {
     "reviews": f"""
-        SELECT l_orderkey * 8 + l_linenumber AS seq, l_suppkey AS tie,
+        SELECT l_orderkey * 8 + l_linenumber AS seq, l_suppkey AS tie, l_orderkey AS order_key,
                {key("l_partkey")} AS media_info_id,
                CAST(l_quantity AS INTEGER) AS rating,
                CAST(year(l_shipdate) AS INTEGER) AS "year",
@@ -131,6 +131,17 @@ _CTES = {
                           WHEN p_type IN ('SMALL', 'LARGE') THEN 'TV_SHOWS'
                           ELSE 'MOVIES' END AS category
               FROM part)""",
+    "order_docs": f"""
+        SELECT {key("category", "primary_title")} AS media_id, *
+        FROM (SELECT docs.* EXCLUDE (media_id, primary_title), order_key,
+                     primary_title || coalesce(' ' || order_key, '') AS primary_title
+              FROM docs LEFT JOIN (SELECT DISTINCT media_info_id, order_key FROM reviews)
+                ON media_info_id = {key("p_partkey")})""",
+    "doc_reviews": """
+        SELECT *, CAST(row_number() OVER (
+                    PARTITION BY media_info_id, order_key, section_name, is_critic
+                    ORDER BY seq, tie) AS INTEGER) AS rank
+        FROM reviews""",
     "first_reviews": """
         SELECT *, CAST((rank - 1) // 10 AS INTEGER) AS page
         FROM (SELECT *, CAST(row_number() OVER (

@@ -127,6 +127,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(who, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "seq",
+            F.col("l_orderkey").alias("order_key"),
             media_id("l_partkey").alias("media_info_id"),
             "rating",
             *TIME_KEY,
@@ -225,8 +226,14 @@ def _only(cat: str, value: Column) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> DataFrame:
-    """Nested review documents, one per part, of the declared document type."""
-    name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    """Nested review documents of the declared document type.
+
+    One per part; with reviews one per part and order that has any, and one per part without, so that
+    a document holds all of its few reviews.
+    """
+    name = F.concat_ws(
+        " ", "p_name", F.col("p_partkey").cast("string"), F.col("order_key").cast("string")
+    )
     date = F.concat(F.lit("Nov 12, "), (F.col("p_size") + 1970).cast("string"))
     brand = F.array("p_brand")
     duration = F.concat(
@@ -252,8 +259,24 @@ def documents(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> D
             for f in MEDIA_DETAILS.fields
         ]
     )
-    docs = table(spark, sf_dir, "part").withColumn("category", category()).select(
+    parts = table(spark, sf_dir, "part").withColumn("category", category())
+    if with_reviews:
+        section = ["media_info_id", "order_key", "section_name", "is_critic"]
+        ranked = review_ops.first_reviews(structured_reviews(spark, sf_dir), section, "seq")
+        maps = review_ops.section_maps(ranked, ["media_info_id", "order_key"])
+        parts = parts.join(maps, media_id("p_partkey") == maps["media_info_id"], "left")
+    else:
+        parts = parts.withColumns(
+            {
+                "order_key": F.lit(None).cast("long"),
+                **{c: F.lit(None).cast(REVIEW_MAP) for c in ("critic_reviews", "user_reviews")},
+            }
+        )
+    docs = parts.select(
         "p_partkey",
+        "order_key",
+        "critic_reviews",
+        "user_reviews",
         "category",
         _only("MOVIES", name).alias("title"),
         # An empty string is skipped like a missing title.
@@ -263,18 +286,6 @@ def documents(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> D
     )
     media_type, section_type = category_columns(F.col("category"))
     docs = docs.withColumns({"media_type": media_type, "section_type": section_type})
-    if with_reviews:
-        first = review_ops.first_reviews(
-            structured_reviews(spark, sf_dir), ["media_info_id", "section_name", "is_critic"], "seq"
-        )
-        maps = review_ops.section_maps(first, ["media_info_id"])
-        docs = docs.join(
-            maps, media_id("p_partkey") == maps["media_info_id"], "left"
-        ).drop("media_info_id")
-    else:
-        docs = docs.withColumns(
-            {c: F.lit(None).cast(REVIEW_MAP) for c in ("critic_reviews", "user_reviews")}
-        )
     return review_ops.with_media_id(docs)
 
 
@@ -293,7 +304,7 @@ def structured_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REVIEW.fields]
     )
     return reviews(spark, sf_dir).select(
-        "media_info_id", "section_name", "is_critic", "seq", review.alias("review")
+        "media_info_id", "order_key", "section_name", "is_critic", "seq", review.alias("review")
     )
 
 

@@ -41,7 +41,11 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) ->
         path = f"{root}/{version}/{name}"
         quality.typed_rows(tables[name], contract).write.parquet(path)
         written[name] = spark.read.schema(contract.schema).parquet(path)
-    quality.require_valid(written)
+    try:
+        quality.require_valid(written)
+    except Exception:
+        _remove(spark, f"{root}/{version}")
+        raise
     _swap_pointer(spark, root, version)
     return version
 
@@ -69,16 +73,32 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def _swap_pointer(spark: SparkSession, root: str, version: str) -> None:
-    """Write the version beside the pointer, then put it in the pointer's place."""
-    fs, pointer = _hadoop(spark, f"{root}/{POINTER}")
-    _, fresh = _hadoop(spark, f"{root}/.{version}.pointer")
+    """Write the version beside the pointer, then rename it over the pointer in one step.
+
+    A reader sees the earlier pointer or the new one, and a crash between the two steps leaves the earlier one.
+    Of two publishes at once the later rename wins; the versions of both are complete.
+    """
+    fs, fresh = _hadoop(spark, f"{root}/.{version}.pointer")
     out = fs.create(fresh, True)
     out.write(bytearray(version.encode()))
     out.close()
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    if not fs.rename(fresh, pointer):
-        raise OSError(f"could not swap {POINTER} below {root}")
+    _rename_over(spark, fresh, _hadoop(spark, f"{root}/{POINTER}")[1])
+
+
+def _rename_over(spark: SparkSession, source, target) -> None:
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        source.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(source, target, options)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
 
 
 def upsert_graph(spark: SparkSession, nodes: DataFrame, links: DataFrame, root: str) -> str:
@@ -135,11 +155,6 @@ def json_docs(docs: DataFrame, path: str) -> None:
     docs.write.partitionBy("category").json(path)
 
 
-def jdbc_stage(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:
-    """Append to a staging table of a database, in batches per partition."""
-    df.write.mode("append").option("batchsize", batch).jdbc(url, table, properties=options)
-
-
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows) of every table."""
     counts = [
