@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import surrogate_id
@@ -60,9 +61,8 @@ def remap_foreign_key(rows: DataFrame, keys: Names, fk: str) -> DataFrame:
 
 def bridge(refs: DataFrame, main: str, fk: str) -> DataFrame:
     """Distinct (main, fk) pairs, each weighted 1 / number of fks of its main row."""
-    pairs = refs.select(main, fk).distinct()
-    sizes = pairs.groupBy(main).agg(F.count(F.lit(1)).alias("_n"))
-    return pairs.join(sizes, main).select(main, fk, (F.lit(1.0) / F.col("_n")).alias("weight"))
+    n = F.count(F.lit(1)).over(W.partitionBy(main))
+    return refs.select(main, fk).distinct().withColumn("weight", F.lit(1.0) / n)
 
 
 def facts(reviews: DataFrame, keys: Names, seq: Names | str) -> DataFrame:

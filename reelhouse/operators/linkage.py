@@ -266,11 +266,13 @@ def one_to_one(
     )
 
 
-def match_coverage(targets: DataFrame, matches: DataFrame) -> DataFrame:
-    """How many targets there are and how many found a match."""
-    found = matches.agg(F.count(F.lit(1)).alias("matched"))
-    total = targets.agg(F.count(F.lit(1)).alias("targets"))
-    # Two one-row totals side by side.
-    return total.withColumn("_k", F.lit(1)).join(found.withColumn("_k", F.lit(1)), "_k").select(
-        "targets", "matched", (F.col("matched") / F.col("targets")).alias("coverage")
+def match_coverage(
+    targets: DataFrame, matches: DataFrame, scanned: DataFrame, cleaned: DataFrame
+) -> DataFrame:
+    """One row: candidate rows scanned and left after cleaning, targets, matches, their share."""
+    parts = {"scanned": scanned, "cleaned": cleaned, "targets": targets, "matched": matches}
+    tagged = reduce(
+        DataFrame.unionByName, [df.select(F.lit(name).alias("of")) for name, df in parts.items()]
     )
+    counted = tagged.agg(*[F.count(F.when(F.col("of") == name, 1)).alias(name) for name in parts])
+    return counted.withColumn("coverage", F.col("matched") / F.nullif(F.col("targets"), F.lit(0)))

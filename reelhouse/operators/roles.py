@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions import clean
 from reelhouse.operators.entities import distinct_entities, entity_refs
+from reelhouse.session import staged
 
 KEY = ("nconst", "play_method", "role")
 
@@ -43,7 +44,10 @@ def role_tables(
 
     Names are looked up once per distinct role, not per credit.
     """
-    credits = contributors(principals, matches).withColumn("seq", F.xxhash64("ref_id"))
+    # Read three times below, so the credits are scanned once and staged.
+    credits = staged(
+        contributors(principals, matches).withColumn("seq", F.xxhash64("ref_id")), "credits"
+    )
     named = person_names(distinct_entities(credits, KEY, "seq"), names)
     roles = named.where(F.col("person_name").isNotNull())
     refs = entity_refs(credits.withColumnRenamed("ref_id", "media_id"), KEY, "media_id", "role_id")

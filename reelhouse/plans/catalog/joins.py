@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelhouse.functions.text import (
+    FRANCHISE_STOPWORDS,
     franchise_tokens,
     normalize_title,
     token_set,
@@ -117,26 +118,74 @@ def _matches(spark, sf):
     return left, linkage.one_to_one(pairs, left, right, "key", group)
 
 
-@query("join_one_to_one_best")
+# Each round takes the pairs that come first for both their groups of copies, as many rows as
+# the smaller side has left, and hands copies out in key order.
+_ASSIGNED = (
+    _FUZZY.replace("WITH l AS", "WITH RECURSIVE l AS").replace(
+        "SELECT * FROM p WHERE similarity >= 0.6",
+        """,
+    rounds(key_a, key_b, similarity, left_a, left_b, from_a, from_b, taken, at_a, at_b) AS (
+      SELECT key_a, key_b, similarity, n_a, n_b, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT
+      FROM p WHERE similarity >= 0.6
+      UNION ALL
+      SELECT key_a, key_b, similarity, left_a - used_a, left_b - used_b, from_a + used_a,
+             from_b + used_b, taken, from_a, from_b
+      FROM (SELECT *, CAST(sum(taken) OVER (PARTITION BY key_a) AS BIGINT) AS used_a,
+                   CAST(sum(taken) OVER (PARTITION BY key_b) AS BIGINT) AS used_b
+            FROM (SELECT * REPLACE (CASE WHEN first_a = 1 AND first_b = 1
+                                         THEN least(left_a, left_b) ELSE 0 END AS taken)
+                  FROM (SELECT *, row_number() OVER (PARTITION BY key_a
+                                    ORDER BY similarity DESC, key_a, key_b) AS first_a,
+                               row_number() OVER (PARTITION BY key_b
+                                    ORDER BY similarity DESC, key_a, key_b) AS first_b
+                        FROM rounds WHERE left_a > 0 AND left_b > 0))) AS chosen
+    ),
+    slots AS (SELECT key_a, key_b, similarity, at_a + i AS rank_a, at_b + i AS rank_b
+              FROM (SELECT *, unnest(range(taken)) AS i FROM rounds WHERE taken > 0)),
+    matches AS (SELECT a.key AS target, b.key AS candidate, similarity FROM slots
+                JOIN (MEMBERS_A) a ON a.least_key = key_a AND a.rank = rank_a
+                JOIN (MEMBERS_B) b ON b.least_key = key_b AND b.rank = rank_b)
+    """,
+    )
+)
+
+
+def _members(rows: str) -> str:
+    group = f"PARTITION BY list_sort(list_distinct({normalized('sentence')})), {_COUNT}"
+    return f"""SELECT key, min(key) OVER ({group}) AS least_key,
+                      row_number() OVER ({group} ORDER BY key) - 1 AS rank
+               FROM (SELECT DISTINCT id || ':' || sentence AS key, sentence FROM {rows})"""
+
+
+_ASSIGNED = _ASSIGNED.replace("MEMBERS_A", _members("wanted")).replace(
+    "MEMBERS_B", _members("offered")
+)
+
+
+@query("join_one_to_one_best", _ASSIGNED + "SELECT * FROM matches")
 def one_to_one_best(spark, sf):
     return _matches(spark, sf)[1]
 
 
-@query("agg_match_coverage")
+@query(
+    "agg_match_coverage",
+    _ASSIGNED
+    + """
+    SELECT *, matched::DOUBLE / targets AS coverage
+    FROM (SELECT (SELECT count(*) FROM offered) AS scanned,
+                 (SELECT count(*) FROM (SELECT DISTINCT id, sentence FROM offered)) AS cleaned,
+                 (SELECT count(*) FROM (SELECT DISTINCT id, sentence FROM wanted)) AS targets,
+                 (SELECT count(*) FROM matches) AS matched)""",
+)
 def match_coverage(spark, sf):
     left, matches = _matches(spark, sf)
-    return linkage.match_coverage(left, matches)
+    scanned = standins.sentences(spark, sf, "documents", "doc_id")
+    return linkage.match_coverage(left, matches, scanned, scanned.distinct())
 
 
 # ---- clustering of sentences within the speaker's role -------------------------------
 
-_STOP = ", ".join(
-    f"'{w}'"
-    for w in (
-        "the of a an and in on at ii iii iv v vi vii viii ix x 1 2 3 4 5 6 7 8 9 10 "
-        "season part re release remastered"
-    ).split()
-)
+_STOP = ", ".join(f"'{w}'" for w in FRANCHISE_STOPWORDS)
 _WORDS = r"list_filter(regexp_split_to_array(lower(sentence), '\s+'), lambda x: x <> '')"
 _SPLIT = f"CASE WHEN len({_WORDS}) = 1 THEN string_split({_WORDS}[1], '-') ELSE {_WORDS} END"
 _TOKENS = f"list_filter({_SPLIT}, lambda x: x NOT IN ({_STOP}))"

@@ -8,6 +8,7 @@ from reelhouse.functions.keys import surrogate_id
 from reelhouse.functions.values import date_parts
 from reelhouse.operators import entities, filters, graph, reviews
 from reelhouse.operators.clustering import cluster_attribute
+from reelhouse.operators.roles import contributors
 from reelhouse.plans import standins
 from reelhouse.plans.catalog.registry import also, key, query
 from reelhouse.sources.readers import limit_per_group
@@ -256,12 +257,23 @@ also("win_keep_first", "agg_fact_dedup")
 
 @query(
     "agg_role_dedup",
-    """SELECT DISTINCT ref_id, nconst, play_method, role FROM role_rows""",
+    """SELECT DISTINCT ref_id, nconst, lower(play_method) AS play_method, role FROM role_rows""",
 )
 def role_dedup(spark, sf):
-    return standins.role_rows(spark, sf).select(
-        "ref_id", "nconst", "play_method", "role"
-    ).dropDuplicates()
+    """One credit per line of an order; a buyer's nation is credited again with every order."""
+    credits = standins.role_credits(spark, sf)
+    principals = credits.select(
+        F.col("seq").cast("string").alias("tconst"),
+        "nconst",
+        F.col("play_method").alias("category"),
+        F.concat(F.lit('["'), F.col("role"), F.lit('"]')).alias("characters"),
+        F.lit(None).cast("string").alias("job"),
+    )
+    matches = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("tconst"),
+        standins.media_id("p_partkey").alias("media_id"),
+    )
+    return contributors(principals, matches)
 
 
 @query("agg_bridge_weight", "SELECT media_id, company_id, weight FROM bridge_company")

@@ -175,6 +175,11 @@ def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def role_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nations that bought a part are its contributors."""
+    return role_credits(spark, sf_dir).distinct()
+
+
+def role_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contributor for every line of an order, with repeats."""
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -197,7 +202,6 @@ def role_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias("play_method"),
             F.col("c_mktsegment").alias("role"),
         )
-        .distinct()
     )
 
 

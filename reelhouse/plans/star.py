@@ -11,7 +11,8 @@ from reelhouse.functions.text import normalize_title, token_set
 from reelhouse.functions.values import numeric_or_null
 from reelhouse.operators import entities, filters, graph, linkage, reviews, roles
 from reelhouse.operators.clustering import cluster_attribute
-from reelhouse.session import cut_lineage
+from reelhouse.session import cut_lineage, staged
+from reelhouse.sources.readers import CORRUPT
 
 TIME_KEY = ("year", "month", "day")
 REVIEWER_KEY = ("reviewer_username", "association")
@@ -87,8 +88,13 @@ def link_catalogue(media: DataFrame, titles: DataFrame) -> DataFrame:
 
 
 def build_warehouse(docs: DataFrame, catalogue: Catalogue) -> dict[str, DataFrame]:
-    """All 11 warehouse tables, lazy but for the linkage and clustering rounds."""
-    docs = reviews.with_media_id(docs)
+    """All 11 warehouse tables, lazy but for staging and the linkage and clustering rounds.
+
+    The documents are parsed once and staged, and so are the credits (`roles.role_tables`): every
+    table reads the columns it needs from there. Documents that did not parse are left out;
+    `accepted` tells which.
+    """
+    docs, _ = accepted(docs)
     media = reviews.media_info(docs)
     genre_rows, company_rows = reviews.genres(docs), reviews.companies(docs)
     matches = cut_lineage(link_catalogue(media, catalogue.titles))
@@ -107,6 +113,17 @@ def build_warehouse(docs: DataFrame, catalogue: Catalogue) -> dict[str, DataFram
     }
 
 
+def accepted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with ids, staged, and the report of those that did not parse: (path, category, record)."""
+    parsed = staged(reviews.with_media_id(docs), "documents")
+    if CORRUPT not in parsed.columns:
+        empty = docs.sparkSession.createDataFrame([], "path string, category string, record string")
+        return parsed, empty
+    broken = F.col(CORRUPT).isNotNull()
+    report = parsed.where(broken).select("path", "category", F.col(CORRUPT).alias("record"))
+    return parsed.where(~broken).drop(CORRUPT), report
+
+
 def build_graph(warehouse: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(nodes, links) before upsert. Names are node ids, as the graph is read by name."""
     media = warehouse["DIM_MEDIA_INFO"].withColumn("seq", F.xxhash64("id")).drop("franchise")

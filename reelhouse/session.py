@@ -107,7 +107,4 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, so a lost executor costs no replay."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    return staged(df, "cut")
