@@ -114,6 +114,26 @@ def q8(spark, sf):
     return dashboards.company_score_bands(Staged.of(spark, sf))
 
 
+_ATTRIBUTES = """SELECT DISTINCT 'genre' AS kind, media_id, genre_title AS attribute
+        FROM bridge_genre JOIN genres ON genres.id = genre_id
+    UNION SELECT 'company', media_id, company_name
+        FROM bridge_company JOIN companies ON companies.id = company_id
+    UNION SELECT 'role', media_id, role FROM bridge_role JOIN roles ON roles.id = role_id"""
+
+
+@query(
+    "rating_by_attribute",
+    f"""
+    WITH named AS ({_ATTRIBUTES})
+    SELECT kind, attribute, count(rating) AS ratings, avg(rating) AS avg_rating,
+           avg(rating) - (SELECT avg(rating) FROM fact) AS lift
+    FROM fact JOIN named ON media_id = media_info_id
+    GROUP BY kind, attribute HAVING count(rating) >= 20""",
+)
+def rating_by_attribute(spark, sf):
+    return dashboards.rating_by_attribute(Staged.of(spark, sf))
+
+
 @query("agg_weighted_sum", _SCORES)
 def weighted_sum(spark, sf):
     return dashboards.company_genre_scores(Staged.of(spark, sf))

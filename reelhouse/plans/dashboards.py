@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.functions.values import exact_mean, score_band
+from reelhouse.functions.values import SCORE_BANDS, exact_mean, score_band
 from reelhouse.operators.filters import name_like
 
 Star = Mapping[str, DataFrame]
@@ -157,31 +157,90 @@ def company_score_bands(star: Star, roles: Sequence[str] = ("developer",)) -> Da
     return avg_by_company(star, roles).withColumn("band", score_band(F.col("avg_rating")))
 
 
-# The same queries as SQL text over the warehouse tables, for `spark.sql`.
+def rating_by_attribute(star: Star, least_ratings: int = 20) -> DataFrame:
+    """How far the mean rating of titles with a genre, company or role lies from that of all.
+
+    (kind, attribute, ratings, avg_rating, lift) for attributes with `least_ratings` or more. Ratings are
+    summed per title before a bridge fans them out; nothing is paired with anything.
+    """
+    totals = _totals(star["FACT_REVIEWS"], "media_info_id")
+    overall = totals.agg(_mean()).first()[0]
+    kinds = (
+        ("genre", "BRIDGE_MEDIA_GENRE", "genre_id", "GENRES", "genre_title"),
+        ("company", "BRIDGE_MEDIA_COMPANY", "company_id", "COMPANIES", "company_name"),
+        ("role", "BRIDGE_MEDIA_ROLE", "role_id", "ROLES", "role"),
+    )
+    parts = []
+    for kind, bridge, fk, entity, name in kinds:
+        names = star[entity].select(F.col("id").alias(fk), F.col(name).alias("attribute"))
+        named = _by_media(star[bridge]).join(names, fk).select("media_info_id", "attribute")
+        rated = totals.join(named.distinct(), "media_info_id").groupBy("attribute")
+        parts.append(
+            rated.agg(F.sum("n").alias("ratings"), _mean())
+            .where(F.col("ratings") >= least_ratings)
+            .select(F.lit(kind).alias("kind"), "attribute", "ratings", "avg_rating")
+        )
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.withColumn("lift", F.col("avg_rating") - F.lit(overall))
+
+
+# The same queries as SQL text over the warehouse tables, for `spark.sql`: totals per title (or
+# per title and what else is needed) first, the bridge after them.
+_PER_TITLE = "SELECT media_info_id, sum(rating) AS total, count(rating) AS n FROM FACT_REVIEWS GROUP BY 1"
+_PER_COMPANY = f"""
+    WITH totals AS ({_PER_TITLE})
+    SELECT company_name AS company, sum(total) / sum(n) AS avg_rating
+    FROM totals, BRIDGE_MEDIA_COMPANY bridge, COMPANIES companies
+    WHERE bridge.media_id = media_info_id AND companies.id = company_id
+      AND array_contains(:roles, company_role)
+    GROUP BY company_name"""
+_PER_YEAR = """
+    WITH totals AS (
+      SELECT reviewer_id, time_id, sum(rating) AS total, count(rating) AS n
+      FROM FACT_REVIEWS GROUP BY reviewer_id, time_id)
+    SELECT year, round(CAST(sum(total) AS DECIMAL(28, 0)) / sum(n), 2) AS avg_rating
+    FROM totals, DIM_TIME times
+    WHERE times.id = time_id AND year IS NOT NULL
+      AND reviewer_id IN (SELECT id FROM DIM_REVIEWER WHERE is_critic = :critics)
+    GROUP BY year ORDER BY year"""
 SQL = {
     "avg_by_genre_platform": """
-        SELECT g.genre_title || ' - ' || s.section_name AS genre_platform,
-               avg(f.rating) AS avg_rating
-        FROM FACT_REVIEWS f
-        JOIN DIM_SECTION s ON s.id = f.section_id
-        JOIN BRIDGE_MEDIA_GENRE b ON b.media_id = f.media_info_id
-        JOIN GENRES g ON g.id = b.genre_id
-        WHERE s.section_type NOT IN ('Season', 'Display')
-        GROUP BY 1 ORDER BY avg_rating DESC, genre_platform""",
-    "avg_by_company": """
-        SELECT c.company_name AS company, avg(f.rating) AS avg_rating
-        FROM FACT_REVIEWS f
-        JOIN BRIDGE_MEDIA_COMPANY b ON b.media_id = f.media_info_id
-        JOIN COMPANIES c ON c.id = b.company_id
-        WHERE array_contains(:roles, c.company_role)
-        GROUP BY 1 ORDER BY avg_rating DESC, company""",
-    "avg_by_name_match": """
-        SELECT m.primary_title, avg(f.rating) AS avg_rating
-        FROM FACT_REVIEWS f
-        JOIN DIM_MEDIA_INFO m ON m.id = f.media_info_id
-        JOIN BRIDGE_MEDIA_ROLE b ON b.media_id = m.id
-        JOIN ROLES r ON r.id = b.role_id
-        WHERE contains(r.role, :word) OR contains(r.person_name, :word)
-        GROUP BY 1 ORDER BY avg_rating, primary_title""",
-    "company_roles": "SELECT DISTINCT company_role FROM COMPANIES",
+        WITH totals AS (
+          SELECT media_info_id, section_name, sum(rating) AS total, count(rating) AS n
+          FROM FACT_REVIEWS, DIM_SECTION sections
+          WHERE sections.id = section_id AND section_type NOT IN ('Season', 'Display')
+          GROUP BY media_info_id, section_name)
+        SELECT concat(genre_title, ' - ', section_name) AS genre_platform,
+               sum(total) / sum(n) AS avg_rating
+        FROM totals, BRIDGE_MEDIA_GENRE bridge, GENRES genres
+        WHERE bridge.media_id = media_info_id AND genres.id = genre_id
+        GROUP BY genre_title, section_name ORDER BY avg_rating DESC, genre_platform""",
+    "avg_by_company": _PER_COMPANY + " ORDER BY avg_rating DESC, company",
+    "avg_by_year": _PER_YEAR,
+    "avg_by_name_match": f"""
+        WITH totals AS ({_PER_TITLE}), matching AS (
+          SELECT media_id, count(*) AS roles FROM BRIDGE_MEDIA_ROLE
+          WHERE role_id IN (SELECT id FROM ROLES
+                            WHERE contains(role, :word) OR contains(person_name, :word))
+          GROUP BY media_id)
+        SELECT primary_title, sum(total * roles) / sum(n * roles) AS avg_rating
+        FROM totals, matching, DIM_MEDIA_INFO media
+        WHERE matching.media_id = media_info_id AND media.id = media_info_id
+        GROUP BY primary_title ORDER BY avg_rating, primary_title""",
+    "best_genre_per_company": f"""
+        WITH totals AS ({_PER_TITLE}), scored AS (
+          SELECT company_name, genre_title, sum(total * g.weight) AS score
+          FROM totals, BRIDGE_MEDIA_GENRE g, BRIDGE_MEDIA_COMPANY c, GENRES genres, COMPANIES companies
+          WHERE g.media_id = media_info_id AND c.media_id = media_info_id
+            AND genres.id = genre_id AND companies.id = company_id
+          GROUP BY company_name, genre_title)
+        SELECT company_name AS company,
+               min_by(genre_title, struct(-score, genre_title)) AS best_rated_genre
+        FROM scored GROUP BY company_name""",
+    "company_roles": "SELECT company_role FROM COMPANIES GROUP BY company_role",
+    "company_score_bands": f"""
+        SELECT *, CASE {" ".join(
+            f"WHEN avg_rating BETWEEN {low} AND {high} THEN '{name}'" for low, high, name in SCORE_BANDS
+        )} END AS band
+        FROM ({_PER_COMPANY})""",
 }

@@ -22,6 +22,9 @@ from reelhouse.sources.readers import category_columns, spread
 # Tables that grow with the scale factor and may come as one row group.
 GROWING = ("lineitem", "orders", "events", "documents", "pages", "conversations")
 
+# Tables the warehouse is loaded from.
+LOADED = ("part", "lineitem", "orders", "customer", "supplier", "nation", "region")
+
 REVIEWER_KEY = ("reviewer_username", "association")
 SECTION_KEY = ("section_name", "section_type")
 TIME_KEY = ("year", "month", "day")
@@ -350,10 +353,10 @@ class Staged(Mapping[str, DataFrame]):
     """Warehouse tables written to the shared folder when first asked for.
 
     The dashboards read a loaded warehouse; this is the load. One per application
-    and input folder.
+    and state of the input folder, so that changed files are loaded anew.
     """
 
-    _known: dict[tuple[str, str], Staged] = {}
+    _known: dict[tuple, Staged] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.tables = spark, star(spark, sf_dir)
@@ -361,7 +364,7 @@ class Staged(Mapping[str, DataFrame]):
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Staged:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, *(_state(spark, sf_dir, t) for t in LOADED))
         if key not in cls._known:
             cls._known[key] = cls(spark, sf_dir)
         return cls._known[key]
@@ -380,6 +383,13 @@ class Staged(Mapping[str, DataFrame]):
         return len(self.tables)
 
 
+def _state(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int]:
+    """Size and time of a table's files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()
+
+
 def bridge(rows: DataFrame, keys: tuple[str, ...], fk: str) -> DataFrame:
     refs = entities.entity_refs(rows.withColumnRenamed("ref_id", "media_id"), keys, "media_id", fk)
     return entities.bridge(refs, "media_id", fk)
