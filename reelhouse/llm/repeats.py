@@ -235,9 +235,13 @@ def _judged(names: DataFrame, last: bool) -> DataFrame:
     A settled block may hold a window that an unsettled one repeats, so of every settled name beside an unsettled
     block (the same core) one block goes on to the next level as witness.
     """
+    # Counts are staged before they are joined: in one stage with the join, they would keep a name
+    # that a third of all rows share from being split.
     shared = names.groupBy("core").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
-    likely = staged(names.join(shared, "core"), "pfp-likely")
-    spanned = likely.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
+    likely = staged(names.join(staged(shared, "pfp-shared"), "core"), "pfp-likely")
+    spanned = staged(
+        likely.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1"), "pfp-spanned"
+    )
     found = likely.join(spanned, ["f1", "f2"], "left").withColumn("_repeated", F.col("_f").isNotNull())
     no_block = F.lit(None).cast("struct<lo:bigint,n:int,d:int,witness:boolean>")
     no_span = F.lit(None).cast("struct<lo:bigint,hi:bigint>")
