@@ -1,8 +1,8 @@
 """Queries over parsed pages.
 
 `parse` turns a page into a flat list of nodes; everything else is a Spark
-expression over that list. A node spans the positions from `pos` to `last`, so
-"inside" is a comparison.
+expression over that list. A node stands at its `pos` in the list and spans the positions
+to `last`, so what is inside it is a slice, and a lookup costs the size of its own part.
 """
 
 from __future__ import annotations
@@ -116,7 +116,18 @@ def find_all(nodes: Column, test: Callable[[Column], Column], within: Column | N
     """Nodes passing the test, inside `within` if given; nothing is inside a missing node."""
     if within is None:
         return F.filter(nodes, test)
-    return bind(within, lambda w: F.filter(nodes, lambda n: _inside(n, w) & test(n)))
+    return bind(within, lambda w: F.filter(part(nodes, w), test))
+
+
+def part(nodes: Column, outer: Column) -> Column:
+    """The nodes inside a node; none for a missing node."""
+    return _stretch(nodes, outer["pos"], outer["last"])
+
+
+def _stretch(nodes: Column, after: Column, last: Column) -> Column:
+    """Nodes behind position `after` up to `last`; null if there is no page."""
+    found = F.slice(nodes, after + 2, F.greatest(F.lit(0), last - after))
+    return F.when(nodes.isNotNull(), F.coalesce(found, F.array().cast(NODE_LIST)))
 
 
 def first(found: Column) -> Column:
@@ -130,21 +141,18 @@ def find(nodes: Column, test: Callable[[Column], Column], within: Column | None
 def next_after(nodes: Column, test: Callable[[Column], Column], node: Column) -> Column:
     """First passing node that starts behind the start of `node`."""
     return bind(
-        node["pos"], lambda start: first(F.filter(nodes, lambda n: _behind(n, start) & test(n)))
+        node["pos"], lambda start: first(F.filter(_stretch(nodes, start, F.size(nodes)), test))
     )
 
 
 def next_sibling(nodes: Column, test: Callable[[Column], Column], node: Column) -> Column:
     """First passing node behind `node` under the same parent."""
-    return bind(
-        node,
-        lambda b: first(
-            F.filter(
-                nodes,
-                lambda n: _behind(n, b["last"]) & (n["parent"] == b["parent"]) & test(n),
-            )
-        ),
-    )
+    def behind(b: Column) -> Column:
+        end = F.when(b["parent"] >= 0, F.get(nodes, b["parent"])["last"]).otherwise(F.size(nodes))
+        siblings = _stretch(nodes, b["last"], end)
+        return first(F.filter(siblings, lambda n: (n["parent"] == b["parent"]) & test(n)))
+
+    return bind(node, behind)
 
 
 def descendants(
@@ -154,7 +162,11 @@ def descendants(
     within: Column | None = None,
 ) -> Column:
     """Nodes passing `inner` that lie inside some node passing `outer`, in document order."""
-    return inside_any(nodes, inner, find_all(nodes, outer, within))
+    if within is None:
+        return inside_any(nodes, inner, find_all(nodes, outer))
+    return bind(
+        within, lambda w: inside_any(part(nodes, w), inner, F.filter(part(nodes, w), outer))
+    )
 
 
 def inside_any(nodes: Column, test: Callable[[Column], Column], outers: Column) -> Column:
@@ -169,7 +181,7 @@ def text(nodes: Column, node: Column, sep: str = "") -> Column:
     """Stripped text pieces inside a node, joined; null for a missing node."""
 
     def joined(n: Column) -> Column:
-        inner = F.filter(nodes, lambda t: _inside(t, n) & (t["tag"] == TEXT))
+        inner = F.filter(part(nodes, n), lambda t: t["tag"] == TEXT)
         pieces = F.transform(inner, lambda t: strip(t["text"]))
         return F.when(n.isNotNull(), F.array_join(F.filter(pieces, lambda p: p != ""), sep))
 
