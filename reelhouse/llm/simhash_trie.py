@@ -263,7 +263,9 @@ def components_of(
             .alias("component_id"),
         )
     )
-    return prints.join(final, "fp")
+    # Staged, so that both sides of the join come from a shuffle of their own and a fingerprint
+    # that a third of all documents share is split.
+    return prints.join(staged(final, "simhash"), "fp")
 
 
 def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
