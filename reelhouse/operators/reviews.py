@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from reelhouse.functions.keys import surrogate_id
 from reelhouse.functions.text import strip
 from reelhouse.functions.values import date_parts, release_year, runtime_minutes
+from reelhouse.operators.ranking import rank_within
 from reelhouse.schemas import REVIEW_PAYLOAD
 
 REVIEWS_PER_SECTION = 20
 REVIEWS_PER_PAGE = 10
+# Reviews of a section that one piece of a document holds; a longer section goes on in the next piece.
+REVIEWS_PER_PIECE = 1000
 
 # List of a document's details that names companies, and the role.
 COMPANY_LISTS = {
@@ -93,7 +96,12 @@ def companies(docs: DataFrame) -> DataFrame:
 
 
 def all_reviews(docs: DataFrame, *carry: str) -> DataFrame:
-    """(carry, source, section_pos, section_name, pos, review): critics first, duplicates kept."""
+    """(carry, source, section_pos, section_name, pos, review): critics first, duplicates kept.
+
+    Of documents in pieces (`section_pieces`), `pos` counts through all pieces of a section.
+    """
+    pieces = "piece" in docs.columns
+    before = F.col("piece") * REVIEWS_PER_PIECE if pieces else F.lit(0)
 
     def tagged(field: str, source: int) -> Column:
         entries = F.map_entries(F.coalesce(F.col(field), F.create_map().cast(docs.schema[field].dataType)))
@@ -106,14 +114,17 @@ def all_reviews(docs: DataFrame, *carry: str) -> DataFrame:
 
     sections = F.concat(tagged("critic_reviews", 0), tagged("user_reviews", 1))
     return (
-        docs.select(*carry, F.posexplode(sections).alias("section_pos", "_s"))
+        docs.select(*carry, before.alias("_before"), F.posexplode(sections).alias("section_pos", "_s"))
         .select(
             *carry,
             "section_pos",
+            "_before",
             F.col("_s.source").alias("source"),
             F.col("_s.section").alias("section_name"),
             F.posexplode("_s.reviews").alias("pos", "review"),
         )
+        .withColumn("pos", F.col("_before") + F.col("pos"))
+        .drop("_before")
     )
 
 
@@ -214,3 +225,16 @@ def section_maps(first: DataFrame, media: list[str], order: str = "rank") -> Dat
     return lists.groupBy(*media).agg(
         maps(True).alias("critic_reviews"), maps(False).alias("user_reviews")
     )
+
+
+def section_pieces(reviews: DataFrame, media: str, order: str) -> DataFrame:
+    """All reviews of every medium in pieces: (media, piece, critic_reviews, user_reviews).
+
+    A piece holds `REVIEWS_PER_PIECE` reviews of a section at most, in order, and the next piece goes on
+    from there, so that a medium with any number of reviews is no single row. `order` is unique
+    within a medium.
+    """
+    section = F.struct(media, "section_name", F.col("review.isCritic").alias("critic"))
+    ranked = rank_within(reviews.withColumn("_section", section), "_section", order, "_rank")
+    piece = F.floor(F.col("_rank") / REVIEWS_PER_PIECE).cast("int")
+    return section_maps(ranked.withColumn("piece", piece), [media, "piece"], "_rank")

@@ -114,6 +114,55 @@ def review_count(spark, sf):
     return docs.select("p_partkey", reviews.review_count(docs).alias("reviews"))
 
 
+# The same operators over one document per medium with all its reviews.
+@query(
+    "prj_reviews_media",
+    """
+    SELECT media_id AS media_info_id, rating, "year", "month", "day", reviewer_username,
+           association, is_critic,
+           CASE category WHEN 'GAMES' THEN 'Platform' WHEN 'TV_SHOWS' THEN 'Season'
+                ELSE 'Display' END AS section_type,
+           section_name
+    FROM docs JOIN media_reviews ON media_info_id = """
+    + key("p_partkey"),
+)
+def media_review_rows(spark, sf):
+    return reviews.review_rows(standins.media_documents(spark, sf)).drop("seq")
+
+
+@query(
+    "set_union_reviews_media",
+    """
+    SELECT p_partkey, CASE WHEN is_critic THEN 0 ELSE 1 END AS source, section_name,
+           rank - 1 AS pos, reviewer_username AS author, rating
+    FROM docs JOIN media_reviews ON media_info_id = """
+    + key("p_partkey"),
+)
+def media_union_reviews(spark, sf):
+    flat = reviews.all_reviews(standins.media_documents(spark, sf), "p_partkey", "piece")
+    return flat.select(
+        "p_partkey",
+        "source",
+        "section_name",
+        "pos",
+        F.col("review.author").alias("author"),
+        F.col("review.rating").alias("rating"),
+    )
+
+
+@query(
+    "agg_review_count_media",
+    """
+    SELECT p_partkey, count(media_info_id) AS reviews
+    FROM docs LEFT JOIN reviews ON media_info_id = """
+    + key("p_partkey")
+    + " GROUP BY p_partkey",
+)
+def media_review_count(spark, sf):
+    docs = standins.media_documents(spark, sf)
+    return docs.groupBy("p_partkey").agg(F.sum(reviews.review_count(docs)).alias("reviews"))
+
+
 @query("prj_drop_columns", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def drop_columns(spark, sf):
     customers = table(spark, sf, "customer")
@@ -373,6 +422,37 @@ def section_reviews(spark, sf):
 also("fn_map_items", "ext_section_reviews")
 
 
+@query(
+    "ext_section_reviews_media",
+    f"""
+    SELECT p_partkey, section_name, is_critic, count(*) AS reviews,
+           arg_min(reviewer_username, rank) AS first_author,
+           arg_max(reviewer_username, rank) AS last_author
+    FROM docs JOIN media_reviews ON media_info_id = {key("p_partkey")} GROUP BY 1, 2, 3""",
+)
+def media_section_reviews(spark, sf):
+    docs = standins.media_documents(spark, sf)
+    maps = [("critic_reviews", True), ("user_reviews", False)]
+    parts = [
+        docs.select(
+            "p_partkey",
+            "piece",
+            F.explode(field).alias("section_name", "r"),
+            F.lit(critic).alias("is_critic"),
+        )
+        for field, critic in maps
+    ]
+    sections = parts[0].unionByName(parts[1])
+    return sections.groupBy("p_partkey", "section_name", "is_critic").agg(
+        F.sum(F.size("r")).alias("reviews"),
+        F.min_by(F.element_at("r", 1)["author"], "piece").alias("first_author"),
+        F.max_by(F.element_at("r", -1)["author"], "piece").alias("last_author"),
+    )
+
+
+also("fn_map_items_media", "ext_section_reviews_media")
+
+
 @query(
     "prj_graph_entity",
     """SELECT primary_title AS node_id, 'Media' AS label, media_type, description FROM media""",

@@ -142,6 +142,11 @@ _CTES = {
                     PARTITION BY media_info_id, order_key, section_name, is_critic
                     ORDER BY seq, tie) AS INTEGER) AS rank
         FROM reviews""",
+    "media_reviews": """
+        SELECT *, CAST(row_number() OVER (
+                    PARTITION BY media_info_id, section_name, is_critic
+                    ORDER BY seq, tie) AS INTEGER) AS rank
+        FROM reviews""",
     "first_reviews": """
         SELECT *, CAST((rank - 1) // 10 AS INTEGER) AS page
         FROM (SELECT *, CAST(row_number() OVER (

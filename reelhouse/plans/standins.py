@@ -232,11 +232,22 @@ def _only(cat: str, value: Column) -> Column:
     return F.when(F.col("category") == cat, value)
 
 
+def media_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents, one per part with all its reviews, in numbered pieces (`section_pieces`)."""
+    pieces = review_ops.section_pieces(structured_reviews(spark, sf_dir), "media_info_id", "seq")
+    docs = documents(spark, sf_dir).drop("critic_reviews", "user_reviews")
+    return (
+        docs.join(pieces, media_id("p_partkey") == pieces["media_info_id"], "left")
+        .withColumn("piece", F.coalesce("piece", F.lit(0)))
+        .drop("media_info_id")
+    )
+
+
 def documents(spark: SparkSession, sf_dir: str, with_reviews: bool = False) -> DataFrame:
     """Nested review documents of the declared document type.
 
     One per part; with reviews one per part and order that has any, and one per part without, so that
-    a document holds all of its few reviews.
+    a document holds all of its few reviews. `media_documents` has one per part with all reviews.
     """
     name = F.concat_ws(
         " ", "p_name", F.col("p_partkey").cast("string"), F.col("order_key").cast("string")
