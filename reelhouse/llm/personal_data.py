@@ -3,31 +3,43 @@
 Four kinds are found by fixed rules (`base`): e-mail addresses, IPv4 addresses, card numbers, phone
 numbers. Generators propose wider, overlapping spans of each kind (addresses written around the at sign,
 numbers with other separators); boosted trees score every candidate from its format and from the
-words before it, and a threshold per kind, calibrated on a half of the sample the trees have not
+words before it, and a threshold per kind, calibrated on a half of the examples the trees have not
 seen, decides which are added. What a rule found stays; an added span never overlaps it.
 
+The examples are made, not labelled by the rules, so what the trees learn does not depend on how often a form
+is found in the corpus (`teaching`). Positive are addresses and numbers of `SEEDS` a kind, drawn by a fixed seed, and up to
+`SEEDS` that the rules find in a sample, both written in forms the rules do not know: at and dot as
+words or in brackets, `[.]` between the parts of an address, dots and slashes in card numbers, phone numbers without
+a plus. Negative are sentences that end after "at", card numbers with a wrong check digit, parts above 255, lists of
+numbers, bare digits, years, thousands, and spans of the other kinds. All stand between words of the sample.
+
 All of the main path is built-in functions: a pattern's matches and the pieces between them give all positions by running
 totals, and trees are expressions. The trees themselves are fitted on the driver from counts of distinct feature
-vectors of a sample, with spans that satisfy a rule as positive examples.
+vectors of the examples.
 
-Bounds: the sample is the share of documents, by a hash of the id, that comes to `SAMPLE_DOCS` in expectation, and at most
-`MAX_VECTORS` distinct vectors of a kind are used. Searching has no bound.
+Bounds: the sample is the share of documents, by a hash of the id, that comes to `SAMPLE_DOCS` in expectation; `SEEDS` spans
+of a kind and the beginnings of `CARRIERS` texts are taken from it, and at most `MAX_VECTORS` distinct vectors of
+a kind are used. Searching has no bound.
 
 Patterns begin only where a run of their characters begins, or where the last match ended, and contain
 no repeated groups of varying length where a text could make them long, so that neither time nor
 stack depends on how long a run is.
 
-Defined cases: null texts are empty and have no spans. Repeated rows are searched each for itself. A sample without
-candidates, or with one sort of them only, adds nothing. Positions are code points, the end is exclusive. Extra
+Defined cases: null texts are empty and have no spans. Repeated rows are searched each for itself. Examples of
+one sort only add nothing. Positions are code points, the end is exclusive. Extra
 columns are kept; working columns begin with an underscore.
 """
 
 from __future__ import annotations
 
+import random
+import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import whole
@@ -39,6 +51,9 @@ ROUNDS = 20
 RATE = 0.3
 PRECISION = 0.95
 CONTEXT_CHARS = 24
+SEEDS = 300
+CARRIERS = 300
+SEED = 29
 
 # A separator between two digits, the only place where a card number may have one.
 _STRAY = r"(?<![0-9])[\x20-]|[\x20-](?![0-9])"
@@ -59,11 +74,13 @@ _GATE = {
 }
 _AT = r"(?:\x20?@\x20?|\x20?[\[({]\x20?at\x20?[\])}]\x20?|\x20at\x20)"
 _DOT = r"(?:\x20?\.\x20?|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20)"
+# A further part does not begin after the end of a sentence.
+_MORE = r"(?:\.|\x20\.\x20|\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20)"
 WIDE = {
-    "email": rf"(?i)(?<![{_LOCAL}])[{_LOCAL}]++{_AT}[{_DOMAIN}]++{_DOT}[a-z]{{2,24}}(?:{_DOT}[a-z]{{2,24}})?",
+    "email": rf"(?i)(?<![{_LOCAL}])[{_LOCAL}]++{_AT}[{_DOMAIN}]++{_DOT}[a-z]{{2,24}}(?:{_MORE}[a-z]{{2,24}})?",
     "ip": r"(?<![0-9])[0-9]{1,3}(?:(?:\x20?\.\x20?|\[\.\]|-)[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}[\x20./-]?){3}[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9])(?:\+|00)?[0-9]{0,3}[\x20./-]?\(?[0-9]{2,4}\)?[\x20./-]?[0-9]{3,4}[\x20./-]?[0-9]{3,5}(?![0-9])",
+    "phone": r"(?<![0-9])(?:(?:\+|00)?[0-9]{1,3}[\x20./-]?)?\(?[0-9]{2,4}\)?[\x20./-]?[0-9]{3,4}[\x20./-]?[0-9]{3,5}(?![0-9])",
 }
 _WIDE_GATE = {
     "email": r"@|(?i:[\[({]\x20?at|\x20dot\x20)",
@@ -78,8 +95,27 @@ _BEFORE = {
     "ctx_card": r"(?i)(?:card|visa|carte|karte|tarjeta)[^A-Za-z]*$",
     "ctx_phone": r"(?i)(?:tel|phone|fon|call|mobile|fax)[^A-Za-z]*$",
 }
+_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_BETWEEN = r"[^0-9]+"
+_TLD = (
+    "com org net edu gov mil int info biz io dev app eu de fr es it uk ch at nl be se no dk fi pl pt cz "
+    "ru ua jp cn kr in br mx ar ca us au nz za"
+).split()
+# What a span looks like, as patterns on it or on what stands around it; none is the test of a rule.
+_LOOKS = {
+    "bracketed": r"(?i)[\[({]\x20?(?:at|dot|\.)\x20?[\])}]",
+    "said_at": r"(?i)\x20at\x20",
+    "said_dot": r"(?i)\x20dot\x20",
+    "sentence": r"(?<!\x20)\.\x20",
+    "tld": rf"[^A-Za-z](?:{'|'.join(_TLD)})$",
+    "octets": rf"^{_PART}{_BETWEEN}{_PART}{_BETWEEN}{_PART}{_BETWEEN}{_PART}$",
+    "lead": r"^(?:0|\()",
+    "thousands": r"^[0-9]{1,3}(?:[.\x20][0-9]{3})+$",
+    "years": r"^(?:(?:19|20)[0-9]{2}[\x20./-]?)+$",
+}
 FEATURES = (
-    "chars", "digits", "letters", "blanks", "marks", "ats", "dots", "plus", "left", "right", *_BEFORE
+    "chars", "digits", "letters", "marks", "hyphens", "groups", "left", "right", "in_number",
+    "checked", *_LOOKS, *_BEFORE,
 )
 
 
@@ -208,8 +244,7 @@ def _valid(span: Column, kind: str) -> Column:
     if kind == "email":
         return F.lit(True)
     if kind == "ip":
-        part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-        return found.rlike(rf"^{part}\.{part}\.{part}\.{part}$")
+        return found.rlike(rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$")
     digits = _digits(found)
     if kind == "phone":
         return F.length(digits).between(9, 15)
@@ -234,7 +269,7 @@ def with_base(docs: DataFrame) -> DataFrame:
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """Add `_wide_<kind>`: candidates with features and whether a rule's span of the kind overlaps each."""
+    """Add `_wide_<kind>`: candidates with features and whether a rule's span overlaps each."""
     made = docs
     for kind in KINDS:
         name = f"_wide_{kind}"
@@ -251,40 +286,43 @@ def _featured(span: Column, kind: str) -> Column:
 
     at = F.greatest(F.lit(0), span["start"] - CONTEXT_CHARS)
     before = F.substring(text, at + 1, span["start"] - at)
-    after = F.substring(text, span["end"] + 1, F.lit(1))
+    after = F.substring(text, span["end"] + 1, F.lit(2))
+    digits = _digits(found)
+    checked = (
+        F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(F.lit(False))
+        if kind == "card"
+        else F.lit(False)
+    )
     values = {
         "chars": F.length(found),
         "digits": count("[0-9]"),
         "letters": count("[A-Za-z]"),
-        "blanks": count(r"\x20"),
         "marks": count(r"[^A-Za-z0-9\x20]"),
-        "ats": count("@"),
-        "dots": count(r"\."),
-        "plus": (F.substring(before, -1, 1) == "+").cast("int") + count(r"\+"),
+        "hyphens": count("-"),
+        "groups": count("(?<![0-9])[0-9]"),
         "left": before.rlike(r"[\p{L}\p{N}_]$").cast("int"),
-        "right": after.rlike(r"[\p{L}\p{N}_]").cast("int"),
+        "right": after.rlike(r"^[\p{L}\p{N}_]").cast("int"),
+        "in_number": (before.rlike(r"[0-9][./,:-]$") | after.rlike(r"^[./,:-][0-9]")).cast("int"),
+        "checked": checked.cast("int"),
+        **{name: found.rlike(pattern).cast("int") for name, pattern in _LOOKS.items()},
         **{name: before.rlike(pattern).cast("int") for name, pattern in _BEFORE.items()},
     }
 
-    def overlaps(kinds) -> Column:
-        made = F.lit(False)
-        for k in kinds:
-            made = made | F.exists(
-                f"_base_{k}", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"])
-            )
-        return made
-
+    taken = F.lit(False)
+    for k in KINDS:
+        taken = taken | F.exists(
+            f"_base_{k}", lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"])
+        )
     return F.struct(
         span["start"].alias("start"),
         span["end"].alias("end"),
-        overlaps([kind]).alias("ruled"),
-        overlaps(KINDS).alias("taken"),
+        taken.alias("taken"),
         *(values[f].cast("int").alias(f) for f in FEATURES),
     )
 
 
 def _vector(candidate: Column, kind: str) -> Column:
-    names = ("ruled", "taken", *FEATURES)
+    names = ("start", "end", "taken", *FEATURES)
     return F.struct(F.lit(kind).alias("kind"), *(candidate[f].alias(f) for f in names))
 
 
@@ -300,43 +338,205 @@ def _marked(span: Column, kind: str) -> Column:
     return F.struct(span["start"].alias("start"), span["end"].alias("end"), F.lit(kind).alias("kind"))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit trees and thresholds on a hashed sample of `docs`."""
+def _luhn_digit(digits: str) -> str:
+    """The check digit that makes `digits` a card number."""
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (2 - i % 2)
+        total += v - 9 if v > 9 else v
+    return str(-total % 10)
+
+
+def _seeds(rng: random.Random, n: int = SEEDS) -> dict[str, list[str]]:
+    """Valid values of each kind."""
+    names = "anna ben carla david eva info sales office support marta jo press hello team".split()
+
+    def some(length: int, first: str = "123456789") -> str:
+        return rng.choice(first) + "".join(rng.choice("0123456789") for _ in range(length - 1))
+
+    def word() -> str:
+        return "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 5)))
+
+    def name() -> str:
+        return rng.choice(names) + rng.choice(("", "." + word(), "_" + word(), some(2)))
+
+    cards = [some(15, "3456") for _ in range(n)]
+    return {
+        "email": [f"{name()}@{word()}.{rng.choice(_TLD)}" for _ in range(n)],
+        "ip": [".".join(str(rng.randint(0, 255)) for _ in range(4)) for _ in range(n)],
+        "card": [c + _luhn_digit(c) for c in cards],
+        "phone": [some(rng.choice((10, 11, 12))) for _ in range(n)],
+    }
+
+
+def _rewritten(kind: str, value: str, rng: random.Random) -> list[tuple[str, str]]:
+    """(words before, span): `value` in forms the rules do not know."""
+    if kind == "email":
+        local, _, domain = value.partition("@")
+        parts = domain.split(".")
+        if len(parts) > 3 or not all(re.fullmatch("[a-z]{2,24}", p) for p in parts[1:]):
+            return []
+        forms = [
+            (at, dot)
+            for at in (" (at) ", "(at)", " [at] ", "[at]", " {at} ", " at ")
+            for dot in (" (dot) ", "(dot)", " [dot] ", "[dot]", " dot ", ".")
+        ] + [(" @ ", "."), (" @ ", " . "), ("@", " (dot) "), ("@", " dot "), ("@", "[dot]")]
+        # Without brackets always, since these are closest to sentences.
+        chosen = [(" at ", " dot "), (" at ", "."), *rng.sample(forms, 3)]
+        return [("", local + at + dot.join(parts)) for at, dot in chosen]
+    if kind == "ip":
+        parts = value.split(".")
+        return [("", j.join(parts)) for j in ("[.]", " . ")] + [(rng.choice(("ip ", "host ")), "-".join(parts))]
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "card":
+        fours = [digits[i : i + 4] for i in range(0, 16, 4)]
+        return [("", j.join(fours)) for j in "./"] if len(digits) == 16 else []
+    n = digits[-10:]
+    forms = [
+        ("", f"({n[:3]}) {n[3:6]}-{n[6:]}"),
+        ("", f"{n[:3]}-{n[3:6]}-{n[6:]}"),
+        ("", f"{n[:3]} {n[3:6]} {n[6:]}"),
+        ("", f"{n[:3]}.{n[3:6]}.{n[6:]}"),
+        ("", f"0{n[:2]} {n[2:6]} {n[6:]}"),
+        ("", f"0{n[:2]}/{n[2:6]}{n[6:]}"),
+        ("", f"0049 {n[:2]} {n[2:6]} {n[6:]}"),
+        (rng.choice(("tel ", "Phone: ", "call ")), f"0{n[:2]} {n[3:]}"),
+        (rng.choice(("tel ", "phone ", "fax: ")), n),
+    ]
+    return rng.sample(forms, 4) if len(n) == 10 else []
+
+
+def _wrong(kind: str, value: str, words: list[str], rng: random.Random) -> list[tuple[str, str]]:
+    """(words before, span): what looks like the kind and is not."""
+
+    def some(length: int) -> str:
+        return rng.choice("123456789") + "".join(rng.choice("0123456789") for _ in range(length - 1))
+
+    if kind == "email":
+        a, b, c = (rng.choice(words) for _ in range(3))
+        ahead = rng.choice(("", "", "", "contact "))
+        return [
+            (ahead, f"{a} at {b}. {c.capitalize()}"),
+            (ahead, f"{a} at {b}. {c.lower()}"),
+            (ahead, f"{a} @ {b}. {c.capitalize()}"),
+            (ahead, f"{a} at {b}.{c.capitalize()}"),
+            (ahead, f"{a} at {b} dot matrix"),
+            (ahead, f"{a} at {b}. {rng.choice(_TLD).capitalize()}"),
+            (ahead, f"{a} at {b}. {rng.choice(_TLD)}"),
+        ]
+    if kind == "ip":
+        parts = value.split(".")
+        beyond = [*parts[:3], str(rng.randint(256, 999))]
+        rng.shuffle(beyond)
+        first = rng.randint(1, 20)
+        return [
+            *(("", j.join(beyond)) for j in ("[.]", " . ", "-")),
+            ("", "-".join(parts)),
+            ("", ". ".join(str(first + i) for i in range(4))),
+        ]
+    if kind == "card":
+        digits = re.sub("[^0-9]", "", value)[:15].ljust(15, "7")
+        digits += str((int(_luhn_digit(digits)) + rng.randint(1, 9)) % 10)
+        fours = [digits[i : i + 4] for i in range(0, 16, 4)]
+        ahead = rng.choice(("", "card "))
+        return [(ahead, j.join(fours)) for j in ("", ".", "/", " ")]
+    year = rng.randint(1900, 2020)
+    ahead = rng.choice(("", "", "", "call "))
+    return [
+        ("", some(rng.randint(8, 16))),
+        ("", some(rng.randint(8, 16))),
+        (ahead, " ".join(str(year + i) for i in range(3))),
+        (ahead, rng.choice(". ").join((some(rng.randint(2, 3)), some(3), some(3)))),
+        (ahead, rng.choice("./").join((some(3), some(3), some(4), some(2)))),
+        (ahead, " ".join(some(4) for _ in range(4))),
+    ]
+
+
+def teaching(
+    values: dict[str, list[str]], carriers: list[str], seed: int = SEED
+) -> list[tuple[int, str, int, int, str, bool]]:
+    """(doc_id, text, from, to, kind, good): examples with one span each, from valid values and carrier texts.
+
+    `values` come on top of `SEEDS` made ones of each kind.
+    """
+    rng = random.Random(seed)
+    made = _seeds(rng)
+    words = re.findall(r"[A-Za-z]{2,24}", " ".join(carriers)) or "we meet the old house then some more".split()
+    rows = []
+
+    def add(kind: str, ahead: str, span: str, good: bool) -> None:
+        before = " ".join(rng.choice(words) for _ in range(4)) + " " + ahead
+        after = rng.choice((" ", ". ", ", ")) + " ".join(rng.choice(words) for _ in range(3))
+        rows.append((len(rows), before + span + after, len(before), len(before) + len(span), kind, good))
+
+    for kind in KINDS:
+        for value in made[kind] + sorted(values.get(kind, []))[:SEEDS]:
+            for ahead, span in _rewritten(kind, value, rng):
+                add(kind, ahead, span, True)
+            for ahead, span in _wrong(kind, value, words, rng):
+                add(kind, ahead, span, False)
+    return rows
+
+
+def _sampled(docs: DataFrame, sample_docs: int) -> tuple[dict[str, list[str]], list[str]]:
+    """Values of each kind that the rules find in a hashed sample, and beginnings of its texts."""
     n = docs.count()
     if not n:
-        return Model()
+        return {}, []
     share = min(1.0, sample_docs / n)
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     sample = docs.select("doc_id", "text").where(hashed < F.lit(int(share * (1 << 30))))
-    found = with_candidates(with_base(sample))
-    every = F.concat(
-        *(
-            F.transform(
-                f"_wide_{k}",
-                _of_kind(_vector, k),
-            )
-            for k in KINDS
-        )
+    order = F.xxhash64(F.lit(SEED), "doc_id", "text")
+    heads = sample.select(order.alias("o"), F.substring(whole("text"), 1, 200).alias("t"))
+    carriers = [r["t"] for r in heads.orderBy("o", "t").limit(CARRIERS).collect()]
+    found = with_base(sample)
+
+    def value(span: Column, kind: str) -> Column:
+        v = _digits(span["found"]) if kind == "card" else span["found"]
+        return F.struct(F.lit(kind).alias("kind"), v.alias("v"))
+
+    every = F.concat(*(F.transform(f"_base_{k}", _of_kind(value, k)) for k in KINDS))
+    short = found.select(F.explode(every).alias("s")).select("s.*").where(F.length("v") <= 64).distinct()
+    rank = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("v"), "v"))
+    values = {kind: [] for kind in KINDS}
+    for r in short.withColumn("rank", rank).where(F.col("rank") <= SEEDS).collect():
+        values[r["kind"]].append(r["v"])
+    return values, carriers
+
+
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+    """Fit trees and thresholds on made examples between words of a hashed sample of `docs`."""
+    rows = teaching(*_sampled(docs, sample_docs))
+    names = ("doc_id", "text", "_from", "_to", "_kind", "_good")
+    examples = docs.sparkSession.createDataFrame(
+        pa.table({name: [r[i] for r in rows] for i, name in enumerate(names)})
     )
-    # Half of the documents fit the trees, the other half the thresholds.
+    found = with_candidates(with_base(examples))
+    every = F.concat(*(F.transform(f"_wide_{k}", _of_kind(_vector, k)) for k in KINDS))
+    # Half of the examples fit the trees, the other half the thresholds.
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
-    vectors = found.select(half.alias("half"), F.explode_outer(every).alias("c")).select("half", "c.*")
+    vectors = (
+        found.select(half.alias("half"), "_from", "_to", "_kind", "_good", F.explode(every).alias("c"))
+        .select("half", "_from", "_to", "_kind", "_good", "c.*")
+        .where((F.col("start") < F.col("_to")) & (F.col("end") > F.col("_from")) & ~F.col("taken"))
+    )
+    exact = (F.col("start") == F.col("_from")) & (F.col("end") == F.col("_to"))
+    good = F.col("_good") & (F.col("kind") == F.col("_kind")) & exact
+    counted = (
+        vectors.groupBy("kind", "half", *FEATURES)
+        .agg(F.sum(good.cast("long")).alias("good"), F.count(F.lit(1)).alias("n"))
+        .orderBy(F.col("n").desc(), "kind", "half", *FEATURES)
+        .limit(MAX_VECTORS * len(KINDS))
+        .collect()
+    )
     models = {}
     for kind in KINDS:
-        rows = (
-            # A candidate inside another kind's span says nothing about its own.
-            vectors.where((F.col("kind") == kind) & (F.col("ruled") | ~F.col("taken")))
-            .groupBy("half", *FEATURES)
-            .agg(F.sum(F.col("ruled").cast("long")).alias("good"), F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), "half", *FEATURES)
-            .limit(MAX_VECTORS)
-            .collect()
-        )
+        of_kind = [r for r in counted if r["kind"] == kind][:MAX_VECTORS]
         models[kind] = boost(
-            np.array([[r[f] for f in FEATURES] for r in rows], float).reshape(-1, len(FEATURES)),
-            np.array([r["good"] for r in rows], float),
-            np.array([r["n"] for r in rows], float),
-            np.array([r["half"] for r in rows], int),
+            np.array([[r[f] for f in FEATURES] for r in of_kind], float).reshape(-1, len(FEATURES)),
+            np.array([r["good"] for r in of_kind], float),
+            np.array([r["n"] for r in of_kind], float),
+            np.array([r["half"] for r in of_kind], int),
         )
     return Model(models)
 
@@ -389,12 +589,18 @@ def _best(x, gradient, curve, rows):
 
 
 def _threshold(score: np.ndarray, good: np.ndarray, n: np.ndarray) -> float:
-    """The least score from which on candidates are right often enough; infinite if there is none."""
-    order = np.argsort(-score, kind="stable")
-    score, right, all_ = score[order], np.cumsum(good[order]), np.cumsum(n[order])
-    last = np.concatenate([score[1:] != score[:-1], [True]]) if len(score) else np.empty(0, bool)
-    ok = np.flatnonzero(last & (right >= PRECISION * all_))
-    return float(score[ok[-1]]) - 1e-9 if len(ok) else float("inf")
+    """The score from which on candidates are right often enough; infinite if there is none.
+
+    The least score that is right often enough both by itself and with all above it, and halfway on to the next
+    score below. By itself as well, since how often a form is among the examples says nothing about the corpus.
+    """
+    values, group = np.unique(np.round(score, 9), return_inverse=True)
+    right, all_ = (np.bincount(group, v, len(values)) for v in (good, n))
+    above = np.cumsum(right[::-1])[::-1] >= PRECISION * np.cumsum(all_[::-1])[::-1]
+    ok = np.flatnonzero(above & (right >= PRECISION * all_))
+    if not len(ok):
+        return float("inf")
+    return float((values[max(ok[0] - 1, 0)] + values[ok[0]]) / 2) - 1e-6
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:

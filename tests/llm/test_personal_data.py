@@ -96,3 +96,36 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     model = personal_data.fit(df)
     assert personal_data.find(df, model).count() == 0 and personal_data.redact(df, model).count() == 0
+
+
+def added(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = personal_data.find(df, personal_data.fit(df)).orderBy("doc_id").collect()
+    return [
+        [(k, r["text"][s["start"] : s["end"]]) for k in PATTERNS for s in r[f"all_{k}"] if s not in r[f"base_{k}"]]
+        for r in found
+    ]
+
+
+WRITTEN = [
+    ("email", "mara (at) northfield (dot) com"), ("email", "tom [at] lake.org"),
+    ("email", "ines at harbour dot net"), ("phone", "(555) 123-4567"), ("phone", "555-123-4567"),
+    ("phone", "0049 30 1234 5678"), ("ip", "10[.]20[.]30[.]44"), ("card", "4111.1111.1111.1111"),
+]
+ORDINARY = [
+    "They met at noon. Then it rained", "one at home. it was late", "look at polka dot dresses",
+    "number 446276249195643 of the list", "from 2018 2019 2020 on", "card 4111.1111.1111.1112 is wrong",
+    "at 10[.]20[.]30[.]999 none", "chapters 4. 5. 6. 7 are short",
+]
+
+
+def test_wide_forms_are_added_when_rare_and_when_common(spark):
+    ruled = [f"write to user{i}@site.com or +49 30 12345{i:03d}" for i in range(300)]
+    plain = ["some words about nothing at all and then some more words"] * 200
+    texts = [f"please see {span} for the rest" for _, span in WRITTEN]
+    want = [[w] for w in WRITTEN]
+    # A few forms the rules do not know among many they do; no ruled span at all; the forms in nearly all texts.
+    for others, times in ((ruled, 1), (plain, 1), (ruled[:3], 60)):
+        made = added(spark, texts * times + ORDINARY + others)
+        assert made[: len(texts) * times] == want * times
+        assert not any(made[len(texts) * times :])
