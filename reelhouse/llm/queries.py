@@ -15,6 +15,7 @@ from reelhouse.llm import (
     personal_data,
     repeats,
     simhash_trie,
+    structure_queries,
     syncmers,
     token_file,
     url_filter,
@@ -22,8 +23,8 @@ from reelhouse.llm import (
 )
 from reelhouse.llm.common import sha256_hex, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(structure_queries.QUERIES)
+ORACLES: dict[str, str] = dict(structure_queries.ORACLES)
 
 
 def query(name: str, sql: str | None = None):
