@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm import conversation_repair, merkle
+from reelhouse.llm import conversation_repair, katz, merkle
 from reelhouse.llm.common import lower_ascii, table
 from reelhouse.session import staged
 
@@ -198,7 +198,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, held against a copy in which every fifth text is lower-cased."""
-    docs = table(spark, sf_dir, "documents")
+    docs = _small_batches(table(spark, sf_dir, "documents"))
     fields = [F.col(f) for f in merkle.FIELDS]
     tampered = merkle.digest([*fields[:-1], lower_ascii(fields[-1])])
     hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -208,5 +208,27 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op11_conversation_repair": op11, "op12_merkle_manifest": op12}
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; a fifth of the ids teaches nothing."""
+    docs = _small_batches(table(spark, sf_dir, "documents"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = katz.learn_and_score(docs, "doc_id", "text", ~held_out)
+    return model.scores.withColumnRenamed("key", "doc_id").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.unigrams.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def _small_batches(df: DataFrame) -> DataFrame:
+    """Rows that hold a block each go to Python a few at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return df
+
+
+QUERIES = {"op11_conversation_repair": op11, "op12_merkle_manifest": op12, "op13_katz_backoff": op13}
 ORACLES = {"op11_conversation_repair": REPAIR_SQL, "op12_merkle_manifest": MERKLE_SQL}
