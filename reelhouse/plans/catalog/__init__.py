@@ -6,6 +6,7 @@ from reelhouse.plans.catalog import (  # noqa: F401
     modelling,
     pages,
     quality,
+    recommenders,
     scalars,
     sources,
 )
