@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import numbered, whole
-from reelhouse.session import staged
+from reelhouse.session import run_dir
 
 K = 5
 BLOCK_TOKENS = 1 << 20
@@ -132,6 +132,7 @@ def learn_and_score(
         ),
         "katz-blocks",
     )
+    # Every table below is read more than once, so each is written before it is used.
     held = blocks.select("block", F.posexplode(F.arrays_zip("words", "taught")).alias("pos", "w")).select(
         "block", "pos", F.col("w.words").alias("word"), F.col("w.taught").alias("taught")
     )
@@ -141,7 +142,8 @@ def learn_and_score(
     known = staged(
         held.join(words, "word")
         .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "id", "c"))).alias("known")),
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "id", "c"))).alias("known"))
+        .mapInArrow(_packed_known, "block long, pos binary, ids binary, counts binary"),
         "katz-known",
     )
     entries = blocks.select(F.sum(F.size("taught"))).first()[0] or 0
@@ -163,8 +165,7 @@ def learn_and_score(
     )
     contexts, rates = _contexts(answered)
     behind = (
-        known.select("block", F.explode("known").alias("k"))
-        .select("block", "k.pos", "k.id")
+        known.mapInArrow(_places_of, "block long, pos int, id long")
         .join(contexts, "id")
         .groupBy("block")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "total", "log_alpha"))).alias("contexts"))
@@ -175,8 +176,7 @@ def learn_and_score(
         .agg(F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
     )
     scores = (
-        blocks.select("block", "words", "keys", "teaches", "sizes", "tokens")
-        .withColumn("words", F.size("words"))
+        blocks.select("block", "keys", "sizes", "tokens")
         .join(known, "block", "left")
         .join(behind, "block", "left")
         .join(replies, "block", "left")
@@ -243,12 +243,47 @@ def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(x, out=np.zeros(len(x)), where=x > 0)
 
 
-def _pack(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array).tobytes())
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """As `session.staged`, in the smaller of Spark's Parquet codecs."""
+    path = run_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Compressed with all first bytes first, then all second ones: the upper ones of small numbers are zero."""
+    width = numbers.dtype.itemsize
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, width).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpack(packed: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=dtype)
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).reshape(-1)
+
+
+def _packed_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            known = _fields(batch, "known", i)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": [batch.column("block")[i].as_py()],
+                    "pos": [_pack(known["pos"].astype("<i4"))],
+                    "ids": [_pack(known["id"].astype("<i8"))],
+                    "counts": [_pack(known["c"].astype("<i8"))],
+                }
+            )
+
+
+def _places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for every known word of a block."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            pos, ids = _unpack(row["pos"], "<i4"), _unpack(row["ids"], "<i8")
+            blocks = np.full(len(pos), row["block"], dtype=np.int64)
+            yield pa.RecordBatch.from_pydict({"block": blocks, "pos": pos, "id": ids})
 
 
 def _encoder(block_tokens: int):
@@ -313,10 +348,10 @@ class _Opened:
         n = int(self.tokens.max()) + 1
         self.ids = np.full(n, -1, dtype=np.int64)
         self.counts = np.zeros(n, dtype=np.int64)
-        known = _fields(batch, "known", i)
-        if known is not None:
-            self.ids[known["pos"]] = known["id"]
-            self.counts[known["pos"]] = known["c"]
+        if batch.column("pos")[i].is_valid:
+            pos, ids, counts = (batch.column(c)[i].as_py() for c in ("pos", "ids", "counts"))
+            pos = _unpack(pos, "<i4")
+            self.ids[pos], self.counts[pos] = _unpack(ids, "<i8"), _unpack(counts, "<i8")
         # The token before a text's first is the end token of the one before it, or place 0 at the very start.
         left = np.concatenate([self.tokens[:1] * 0, self.tokens[:-1]]).astype(np.int64)
         self.pairs, self.nth = np.unique(left * n + self.tokens, return_inverse=True)
