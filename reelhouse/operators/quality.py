@@ -91,8 +91,11 @@ def orphans(df: DataFrame, fk: str, target: DataFrame, key: str = "id") -> DataF
     return df.join(missing, fk, "left_semi")
 
 
-def violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, rule, rows) of every broken rule; empty means publishable."""
+def violations(tables: Mapping[str, DataFrame], known: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(table_name, rule, rows) of every broken rule; empty means publishable.
+
+    With `known` tables, foreign keys may refer to their rows as well.
+    """
     reports = []
 
     def report(table: str, rule: str, counted: DataFrame) -> None:
@@ -108,14 +111,16 @@ def violations(tables: Mapping[str, DataFrame]) -> DataFrame:
         report(name, "primary key", duplicate_keys(df, contract.primary_key))
         for fk, target in contract.foreign_keys.items():
             keys = tables[target].select(F.col("id").alias(fk))
+            if known is not None:
+                keys = keys.union(known[target].select("id"))
             missing = df.select(fk).distinct().join(keys, fk, "left_anti")
             report(name, f"foreign key {fk}", missing)
     return reduce(DataFrame.unionByName, reports).where("rows > 0")
 
 
-def require_valid(tables: Mapping[str, DataFrame]) -> None:
+def require_valid(tables: Mapping[str, DataFrame], known: Mapping[str, DataFrame] | None = None) -> None:
     """Raise if any rule is broken; the report is at most one line per rule."""
-    broken = violations(tables).collect()
+    broken = violations(tables, known).collect()
     if broken:
         lines = "; ".join(f"{r.table_name}: {r['rule']} ({r['rows']})" for r in broken)
         raise IntegrityError(f"publish refused: {lines}")

@@ -11,6 +11,7 @@ from reelhouse.functions.text import normalize_title, token_set
 from reelhouse.functions.values import numeric_or_null
 from reelhouse.operators import entities, filters, graph, linkage, reviews, roles
 from reelhouse.operators.clustering import cluster_attribute
+from reelhouse.schemas import WAREHOUSE
 from reelhouse.session import cut_lineage, staged
 from reelhouse.sources.readers import CORRUPT
 
@@ -113,6 +114,36 @@ def build_warehouse(docs: DataFrame, catalogue: Catalogue) -> dict[str, DataFram
     }
 
 
+def document_tables(docs: DataFrame) -> dict[str, DataFrame]:
+    """The warehouse tables as far as documents alone give them, for loads batch by batch.
+
+    Contributors come from the catalogue, and groups of names from all media at once: both are left to a build of
+    everything, so there are no roles here, and `franchise` and `section_group` are null.
+    """
+    docs, _ = accepted(docs)
+    spark = docs.sparkSession
+    genre_rows, company_rows = reviews.genres(docs), reviews.companies(docs)
+    rows = staged(reviews.review_rows(docs), "review-rows")
+    fact = rows
+    for keys, fk in ((TIME_KEY, "time_id"), (REVIEWER_KEY, "reviewer_id"), (SECTION_KEY, "section_id")):
+        fact = entities.remap_foreign_key(fact, keys, fk)
+    nothing = F.lit(None).cast("string")
+    return {
+        "COMPANIES": entities.distinct_entities(company_rows, COMPANY_KEY, "seq"),
+        "GENRES": entities.distinct_entities(genre_rows, ("genre_title",), "seq"),
+        "DIM_MEDIA_INFO": reviews.media_info(docs).drop("release_year").withColumn("franchise", nothing),
+        "DIM_TIME": entities.distinct_entities(rows, TIME_KEY, "seq"),
+        "DIM_REVIEWER": entities.distinct_entities(rows, REVIEWER_KEY, "seq", ("is_critic",)),
+        "DIM_SECTION": entities.distinct_entities(rows, SECTION_KEY, "seq").withColumn("section_group", nothing),
+        "BRIDGE_MEDIA_GENRE": bridge_table(genre_rows, ("genre_title",), "genre_id"),
+        "BRIDGE_MEDIA_COMPANY": bridge_table(company_rows, COMPANY_KEY, "company_id"),
+        "FACT_REVIEWS": entities.facts(
+            fact.select(*FACT_KEY, "rating", "seq"), FACT_KEY, "seq"
+        ).drop("seq"),
+        **{n: spark.createDataFrame([], WAREHOUSE[n].schema) for n in ("ROLES", "BRIDGE_MEDIA_ROLE")},
+    }
+
+
 def accepted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents with ids, staged, and the report of those that did not parse: (path, category, record)."""
     parsed = staged(reviews.with_media_id(docs), "documents")

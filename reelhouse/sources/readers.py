@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from reelhouse.operators.filters import filter_rows
 from reelhouse.schemas import CATALOGUE, DOCUMENT
@@ -51,9 +52,20 @@ def category_json(spark: SparkSession, root: str, multi_line: bool = True) -> Da
     are files of another ending. A document that does not parse keeps its text in
     `_corrupt_record`.
     """
+    return _documents(spark.read, root, multi_line)
+
+
+def category_json_stream(
+    spark: SparkSession, root: str, multi_line: bool = True, files_per_batch: int = 1000
+) -> DataFrame:
+    """`category_json` as a stream of the files that are new since the last run."""
+    return _documents(spark.readStream.option("maxFilesPerTrigger", files_per_batch), root, multi_line)
+
+
+def _documents(reader: DataFrameReader | DataStreamReader, root: str, multi_line: bool) -> DataFrame:
     schema = T.StructType([*DOCUMENT.fields, T.StructField(CORRUPT, T.StringType())])
     docs = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -5,14 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.operators import graph, quality
 from reelhouse.schemas import WAREHOUSE
-
-POINTER = "CURRENT"
+from reelhouse.sources import commits
 
 
 def stage_append(df: DataFrame, stage: str, name: str, rows_per_file: int = 1_000_000) -> None:
@@ -28,118 +27,175 @@ def create_schema(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return open_warehouse(spark, root)
 
 
-def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> str:
-    """Publish all tables or none; returns the new version.
+def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> int:
+    """Publish all tables or none, in place of those published before; returns the new version.
 
-    Tables are typed and written to a version folder of their own, the integrity
-    checks read them back from there, and only then the pointer file is swapped.
-    A violation raises and leaves the earlier version in place.
+    Tables are typed and written to a folder of their own, the integrity checks read them back from there, and only then
+    a version names them. A violation raises and leaves the earlier version in place.
+    """
+    written = _write_tables(spark, tables, root)
+    _refuse_broken(spark, root, written)
+    entry = {"tables": {name: [path] for name, path in written.items()}}
+    # A load of everything is no merge: it takes over what batches are known and replaces the tables.
+    return commits.commit(spark, root, lambda before: {"batches": before.get("batches", {}), **entry})
+
+
+def append(
+    spark: SparkSession, tables: Mapping[str, DataFrame], root: str, batch: tuple[str, int] | None = None
+) -> int:
+    """Add a batch's rows to the published tables, all or none; returns the version that has them.
+
+    A row whose primary key is there already is left out, and so are bridge rows of media that are: a medium is
+    loaded once, with the weights of its own document. Only new rows are checked and written, and foreign keys are looked
+    up in old and new rows. `batch` is a stream's name and the batch's number: both are recorded with
+    the version, so a batch that comes again, after a crash or from a second writer, changes nothing.
     """
-    version = uuid.uuid4().hex
-    written = {}
-    for name, contract in WAREHOUSE.items():
-        path = f"{root}/{version}/{name}"
-        quality.typed_rows(tables[name], contract).write.parquet(path)
-        written[name] = spark.read.schema(contract.schema).parquet(path)
+    typed = {name: quality.typed_rows(tables[name], contract) for name, contract in WAREHOUSE.items()}
+
+    def make(before: commits.Entry) -> commits.Entry | None:
+        done = before.get("batches", {})
+        if batch is not None and done.get(batch[0], -1) >= batch[1]:
+            return None
+        old = {name: _warehouse_table(spark, root, before, name) for name in WAREHOUSE}
+        fresh = {}
+        for name, contract in WAREHOUSE.items():
+            known = old[name].select(*contract.primary_key)
+            fresh[name] = typed[name].join(known, list(contract.primary_key), "left_anti")
+            if name.startswith("BRIDGE_"):
+                media = old["DIM_MEDIA_INFO"].select(F.col("id").alias("media_id"))
+                fresh[name] = fresh[name].join(media, "media_id", "left_anti")
+        written = _write_tables(spark, fresh, root)
+        _refuse_broken(spark, root, written, old)
+        paths = before.get("tables", {})
+        made = {"tables": {n: [*paths.get(n, []), path] for n, path in written.items()}, "batches": done}
+        if batch is not None:
+            made["batches"] = {**done, batch[0]: batch[1]}
+        return made
+
+    return commits.commit(spark, root, make)
+
+
+def _write_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
+    """Every table in a new folder; returns the folders, relative to the root."""
+    name = uuid.uuid4().hex
+    for table, contract in WAREHOUSE.items():
+        quality.typed_rows(tables[table], contract).write.parquet(f"{root}/{name}/{table}")
+    return {table: f"{name}/{table}" for table in WAREHOUSE}
+
+
+def _refuse_broken(
+    spark: SparkSession, root: str, written: Mapping[str, str], known: Mapping[str, DataFrame] | None = None
+) -> None:
+    fresh = {n: spark.read.schema(WAREHOUSE[n].schema).parquet(f"{root}/{p}") for n, p in written.items()}
     try:
-        quality.require_valid(written)
+        quality.require_valid(fresh, known)
     except Exception:
-        _remove(spark, f"{root}/{version}")
+        commits.remove(spark, f"{root}/{next(iter(written.values())).split('/')[0]}")
         raise
-    _swap_pointer(spark, root, version)
-    return version
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, path = _hadoop(spark, f"{root}/{POINTER}")
-    if not fs.exists(path):
-        return None
-    return spark.read.text(f"{root}/{POINTER}").first()[0]
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Number of the newest version; None before the first."""
+    return commits.latest(spark, root)[0] or None
 
 
 def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    version = current_version(spark, root)
-    if version is None:
+    number, entry = commits.latest(spark, root)
+    if not number:
         raise FileNotFoundError(f"nothing published below {root}")
-    return {
-        n: spark.read.schema(t.schema).parquet(f"{root}/{version}/{n}")
-        for n, t in WAREHOUSE.items()
-    }
+    return {name: _warehouse_table(spark, root, entry, name) for name in WAREHOUSE}
 
 
-def _hadoop(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+def _warehouse_table(spark: SparkSession, root: str, entry: commits.Entry, name: str) -> DataFrame:
+    paths = [f"{root}/{p}" for p in entry.get("tables", {}).get(name, [])]
+    schema = WAREHOUSE[name].schema
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def _swap_pointer(spark: SparkSession, root: str, version: str) -> None:
-    """Write the version beside the pointer, then rename it over the pointer in one step.
+GRAPH_BUCKETS = 64
 
-    A reader sees the earlier pointer or the new one, and a crash between the two steps leaves the earlier one.
-    Of two publishes at once the later rename wins; the versions of both are complete.
+
+def upsert_graph(
+    spark: SparkSession, nodes: DataFrame, links: DataFrame, root: str, buckets: int = GRAPH_BUCKETS
+) -> int:
+    """Merge node and link rows into the stored graph; returns the new version.
+
+    Both tables are kept in hash buckets per label, each a folder that the version names. A run reads and
+    rewrites the buckets its rows fall in; all others are taken over by name. The number of buckets is
+    fixed by the first run. Of two runs at once the later one merges again, into what the other has written.
     """
-    fs, fresh = _hadoop(spark, f"{root}/.{version}.pointer")
-    out = fs.create(fresh, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    _rename_over(spark, fresh, _hadoop(spark, f"{root}/{POINTER}")[1])
 
+    def make(before: commits.Entry) -> commits.Entry:
+        n = before.get("buckets", buckets)
+        name = uuid.uuid4().hex
+        fresh = nodes.withColumn(_AT, _bucket(graph.NODE[0], graph.NODE[1:], n))
+        old = _graph_rows(spark, root, before, "nodes", _touched(fresh))
+        merged = graph.upsert_nodes(fresh.drop(_AT), old)
+        made_nodes = {
+            **before.get("nodes", {}),
+            **_write_buckets(spark, root, f"{name}/nodes", merged, _bucket(graph.NODE[0], graph.NODE[1:], n)),
+        }
+        entry = {"buckets": n, "nodes": made_nodes, "links": before.get("links", {})}
+        # Only nodes in the buckets of the links' ends are read to see whether both ends exist.
+        ends = [
+            links.select(F.col(a).alias(graph.NODE[0]), F.col(b).alias(graph.NODE[1]))
+            for a, b in ((graph.LINK[0], graph.LINK[1]), (graph.LINK[3], graph.LINK[4]))
+        ]
+        ends = ends[0].unionByName(ends[1]).withColumn(_AT, _bucket(graph.NODE[0], graph.NODE[1:], n))
+        at_link = _bucket(graph.LINK[2], [c for c in graph.LINK if c != graph.LINK[2]], n)
+        present = graph.with_both_ends(links, _graph_rows(spark, root, entry, "nodes", _touched(ends)))
+        old_links = _graph_rows(spark, root, before, "links", _touched(present.withColumn(_AT, at_link)))
+        final = graph.merge_attributes(present, graph.LINK, old_links)
+        entry["links"] = {
+            **entry["links"],
+            **_write_buckets(spark, root, f"{name}/links", final, at_link),
+        }
+        return entry
 
-def _rename_over(spark: SparkSession, source, target) -> None:
-    jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        source.toUri(), spark._jsc.hadoopConfiguration()
-    )
-    context.rename(source, target, options)
+    return commits.commit(spark, root, make)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
-    fs.delete(target, True)
+_AT = "_bucket"
 
 
-def upsert_graph(spark: SparkSession, nodes: DataFrame, links: DataFrame, root: str) -> str:
-    """Merge node and link rows into the stored graph; returns the new version.
+def _bucket(label: str, ids: Sequence[str], n: int) -> Column:
+    """Name of a row's bucket: a hash of its label, and which of the label's `n` buckets it is in."""
+    place = F.pmod(F.xxhash64(*ids), F.lit(n))
+    return F.concat_ws("-", F.hex(F.xxhash64(label)), place.cast("string"))
 
-    Plain files know no MERGE: the merged graph is written beside the current one,
-    by label, and the pointer moves when both tables are complete.
-    """
-    old = current_version(spark, root)
-    old_nodes = old_links = None
-    if old is not None:
-        old_nodes = _graph_table(spark, root, old, "nodes")
-        old_links = _graph_table(spark, root, old, "links").withColumnRenamed(graph.ATTRS, "attrs")
-    version = uuid.uuid4().hex
-    merged = graph.upsert_nodes(nodes, old_nodes)
-    merged.write.partitionBy(graph.NODE[0]).parquet(f"{root}/{version}/nodes")
-    stored = _graph_table(spark, root, version, "nodes")
-    final = graph.upsert_links(links, stored, old_links)
-    final.write.partitionBy(graph.LINK[2]).parquet(f"{root}/{version}/links")
-    _swap_pointer(spark, root, version)
-    return version
 
+def _touched(rows: DataFrame) -> list[str]:
+    """Buckets some row falls in: at most as many as there are labels times buckets."""
+    return [r[0] for r in rows.select(_AT).distinct().collect()]
 
-def open_graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    version = current_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no graph below {root}")
-    return tuple(_graph_table(spark, root, version, t) for t in ("nodes", "links"))
 
+def _write_buckets(spark: SparkSession, root: str, folder: str, rows: DataFrame, at: Column) -> dict[str, str]:
+    """Write rows by bucket; returns bucket to folder."""
+    by_bucket = rows.withColumn(_AT, at)
+    by_bucket.repartition(_AT).write.partitionBy(_AT).parquet(f"{root}/{folder}")
+    fs, path = commits.hadoop(spark, f"{root}/{folder}")
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return {n.removeprefix(f"{_AT}="): f"{folder}/{n}" for n in names if n.startswith(f"{_AT}=")}
 
-def _graph_table(spark: SparkSession, root: str, version: str, name: str) -> DataFrame:
-    columns = [*graph.NODE, "attrs"] if name == "nodes" else [*graph.LINK, graph.ATTRS]
-    schema = T.StructType(
-        [
-            T.StructField(c, T.MapType(T.StringType(), T.StringType()))
-            if c in ("attrs", graph.ATTRS)
-            else T.StructField(c, T.StringType())
-            for c in columns
-        ]
-    )
-    return spark.read.schema(schema).parquet(f"{root}/{version}/{name}").select(*columns)
+
+def open_graph(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    number, entry = commits.latest(spark, root)
+    if not number:
+        raise FileNotFoundError(f"no graph below {root}")
+    links = _graph_rows(spark, root, entry, "links")
+    return _graph_rows(spark, root, entry, "nodes"), links.withColumnRenamed("attrs", graph.ATTRS)
+
+
+def _graph_rows(
+    spark: SparkSession, root: str, entry: commits.Entry, name: str, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Stored nodes or links, all or those of the buckets in `only`."""
+    columns = graph.NODE if name == "nodes" else graph.LINK
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = schema.add("attrs", T.MapType(T.StringType(), T.StringType()))
+    stored = entry.get(name, {})
+    paths = [f"{root}/{stored[at]}" for at in (stored if only is None else only) if at in stored]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def csv_pipe(df: DataFrame, path: str, ids: Sequence[str] = ("id",), sep: str = "|") -> None:

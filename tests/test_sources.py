@@ -6,14 +6,24 @@ import os
 import pathlib
 import subprocess
 import sys
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.operators import filters
 from reelhouse.operators.quality import IntegrityError
+from reelhouse.plans import star
 from reelhouse.schemas import WAREHOUSE
-from reelhouse.sources import readers, sinks
-from reelhouse.streaming.incremental import ingest_new_files, ingested
+from reelhouse.sources import commits, readers, sinks
+from reelhouse.streaming.incremental import (
+    ingest_new_files,
+    ingest_since_marks,
+    ingest_warehouse,
+    ingested,
+    loaded,
+    newer_than_marks,
+)
 
 ROOT = pathlib.Path(__file__).resolve().parents[1]
 
@@ -184,20 +194,209 @@ def test_row_callback_sees_plain_values(spark):
     assert {tuple(r) for r in kept.collect()} == {(2**53 + 1, "int"), (None, "NoneType")}
 
 
-def test_the_pointer_is_replaced_in_one_step(spark, tmp_path, monkeypatch):
+def test_a_crash_before_the_version_is_named_leaves_the_earlier_one(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
-    sinks._swap_pointer(spark, root, "one")
+    assert sinks.current_version(spark, root) is None
+    commits.commit(spark, root, lambda before: {"name": "one"})
 
     def crash(*_):
-        raise OSError("before the rename")
+        raise OSError("before the name")
 
     with monkeypatch.context() as m:
-        m.setattr(sinks, "_rename_over", crash)
+        m.setattr(commits, "_named", crash)
         with pytest.raises(OSError):
-            sinks._swap_pointer(spark, root, "two")
-    assert sinks.current_version(spark, root) == "one"
-    sinks._swap_pointer(spark, root, "three")
-    assert sinks.current_version(spark, root) == "three"
+            commits.commit(spark, root, lambda before: {"name": "two"})
+    assert commits.latest(spark, root) == (1, {"name": "one"})
+    commits.commit(spark, root, lambda before: {"name": "three", "after": before["name"]})
+    assert commits.latest(spark, root) == (2, {"name": "three", "after": "one"})
+
+
+def test_no_version_is_lost_between_writers(spark, tmp_path):
+    root, calls = str(tmp_path), []
+
+    def add(name):
+        def make(before):
+            calls.append(name)
+            return {"names": [*before.get("names", []), name]}
+
+        commits.commit(spark, root, make)
+
+    threads = [threading.Thread(target=add, args=(i,)) for i in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    number, entry = commits.latest(spark, root)
+    assert number == 6 and sorted(entry["names"]) == list(range(6))
+    assert [commits.read(spark, root, n)["names"] for n in range(1, 7)] == [
+        entry["names"][:n] for n in range(1, 7)
+    ]
+    assert len(calls) >= 6
+    assert not commits.create_absent(spark, f"{root}/_log/{6:020d}.json", "{}")
+    assert commits.latest(spark, root) == (6, entry)
+
+
+def test_an_appended_batch_counts_once(spark, tmp_path):
+    root = str(tmp_path)
+    first = small_warehouse(spark)
+    assert sinks.append(spark, first, root, ("docs", 0)) == 1
+    assert sinks.append(spark, first, root, ("docs", 0)) == 1
+    more = small_warehouse(spark, "Other name, same key")
+    one = lambda t, *row: spark.createDataFrame([row], WAREHOUSE[t].schema)
+    more["GENRES"] = more["GENRES"].union(one("GENRES", "g2", "Drama"))
+    more["DIM_MEDIA_INFO"] = more["DIM_MEDIA_INFO"].union(
+        one("DIM_MEDIA_INFO", "m2", "Movie", None, "Two", "2001", None, None, None)
+    )
+    # The known medium gets no second genre, which would break its weights; the new one does.
+    more["BRIDGE_MEDIA_GENRE"] = one("BRIDGE_MEDIA_GENRE", "m", "g2", 1.0).union(
+        one("BRIDGE_MEDIA_GENRE", "m2", "g2", 1.0)
+    )
+    more["FACT_REVIEWS"] = one("FACT_REVIEWS", "w", "t", "s", "m2", 70).union(more["FACT_REVIEWS"])
+    assert sinks.append(spark, more, root, ("docs", 1)) == 2
+    now = sinks.open_warehouse(spark, root)
+    assert {tuple(r) for r in now["GENRES"].collect()} == {("g", "Action"), ("g2", "Drama")}
+    assert {r.media_id for r in now["BRIDGE_MEDIA_GENRE"].collect()} == {"m", "m2"}
+    assert now["BRIDGE_MEDIA_GENRE"].where("media_id = 'm'").count() == 1
+    assert sorted(r.rating for r in now["FACT_REVIEWS"].collect()) == [70, 80]
+    # An orphan is refused and nothing is added.
+    broken = dict(more, FACT_REVIEWS=one("FACT_REVIEWS", "w", "t", "s", "nobody", 1))
+    with pytest.raises(IntegrityError, match="foreign key media_info_id"):
+        sinks.append(spark, broken, root, ("docs", 2))
+    assert sinks.current_version(spark, root) == 2
+
+
+def test_a_stream_that_crashes_before_its_commit_loads_the_same_tables(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    for i, category in enumerate(["GAMES", "GAMES", "MOVIES", "TV_SHOWS"]):
+        folder = landing / category
+        folder.mkdir(parents=True, exist_ok=True)
+        field = {"GAMES": "game_title", "MOVIES": "title", "TV_SHOWS": "tv_title"}[category]
+        doc = {
+            field: f"Name {i}",
+            "media_details": {"genres": ["Action", f"G{i}"], "initial_release_date": "Nov 1, 1999"},
+            "critic_reviews": {"_default": [
+                {"author": "Ann", "company": "Mag", "quote": "", "rating": 50 + i, "post_date": "2020-01-05",
+                 "spoiler": False, "isCritic": True}]},
+            "user_reviews": {},
+        }
+        (folder / f"{i}.json").write_text(json.dumps(doc))
+
+    def run(name):
+        ingest_warehouse(
+            spark, str(landing), str(tmp_path / name), str(tmp_path / f"{name}-state"),
+            star.document_tables, files_per_batch=1,
+        )
+
+    def tables(name):
+        now = sinks.open_warehouse(spark, str(tmp_path / name))
+        return {t: sorted(map(str, df.collect())) for t, df in now.items()}
+
+    run("plain")
+    named, seen = commits._named, []
+
+    def crash_at_the_second(*args):
+        seen.append(args)
+        if len(seen) == 2:
+            raise OSError("crash between write and version")
+        return named(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "_named", crash_at_the_second)
+        with pytest.raises(Exception, match="crash between"):
+            run("crashed")
+    run("crashed")
+    run("crashed")
+    assert tables("crashed") == tables("plain")
+    assert len(tables("plain")["DIM_MEDIA_INFO"]) == 4 and len(tables("plain")["GENRES"]) == 5
+    number, entry = commits.latest(spark, str(tmp_path / "crashed"))
+    assert (number, entry["batches"]) == (4, {"documents": 3})
+
+
+def test_only_files_before_the_mark_are_read(spark, tmp_path):
+    landing, root, opened = tmp_path / "in", str(tmp_path / "out"), []
+
+    def put(category, *names):
+        (landing / category).mkdir(parents=True, exist_ok=True)
+        for name in names:
+            (landing / category / f"{name}.json").write_text(json.dumps({"id": f"{category}{name}"}))
+
+    def read(paths):
+        opened.append(sorted(p.rsplit("/", 2)[1] + p.rsplit("/", 1)[1] for p in paths))
+        return spark.read.schema("id string").json(list(paths))
+
+    put("GAMES", "001", "002")
+    put("MOVIES", "005")
+    assert ingest_since_marks(spark, str(landing), root, read) == 1
+    assert ingest_since_marks(spark, str(landing), root, read) == 1
+    put("GAMES", "003")
+    put("TV", "001")
+    assert ingest_since_marks(spark, str(landing), root, read) == 2
+    assert opened == [["GAMES001.json", "GAMES002.json", "MOVIES005.json"], ["GAMES003.json", "TV001.json"]]
+    assert sorted(r.id for r in loaded(spark, root).collect()) == [
+        "GAMES001", "GAMES002", "GAMES003", "MOVIES005", "TV001"]
+
+    def fail(paths):
+        raise OSError("unreadable")
+
+    put("GAMES", "004")
+    with pytest.raises(OSError):
+        ingest_since_marks(spark, str(landing), root, fail)
+    assert ingest_since_marks(spark, str(landing), root, read) == 3
+    assert opened[-1] == ["GAMES004.json"]
+
+
+def test_a_category_without_its_marked_item_is_new_as_a_whole(spark):
+    listing = spark.createDataFrame(
+        [("a", "x", 3), ("a", "y", 2), ("a", "z", 1), ("b", "p", 9), ("b", "q", 8), (None, "n", 1)],
+        "category string, item string, place int")
+    marks = spark.createDataFrame([("a", "y"), ("b", "gone")], "category string, item string")
+    new = newer_than_marks(listing, marks, "category", "item", F.col("place"))
+    assert sorted(r["item"] for r in new.collect()) == ["n", "p", "q", "x"]
+
+
+def graph_rows(spark, ids, value):
+    nodes = spark.createDataFrame(
+        [("M", i, {"v": value}, 1) for i in ids] + [("G", "g", {}, 1)],
+        "_GRAPH_NODE_LABEL string, _GRAPH_NODE_ID string, attrs map<string,string>, seq int")
+    links = spark.createDataFrame(
+        [("M", i, "has", "G", "g", {"v": value}, 1) for i in ids],
+        "_GRAPH_SRC_LABEL string, _GRAPH_SRC_NODE_ID string, _GRAPH_LINK_LABEL string, "
+        "_GRAPH_TRGT_LABEL string, _GRAPH_TRGT_NODE_ID string, attrs map<string,string>, seq int")
+    return nodes, links
+
+
+def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    root = str(tmp_path)
+    sinks.upsert_graph(spark, *graph_rows(spark, [f"m{i}" for i in range(400)], "1"), root, buckets=16)
+    before = commits.latest(spark, root)[1]
+    assert len(before["nodes"]) == 17 and len(before["links"]) == 16
+    sinks.upsert_graph(spark, *graph_rows(spark, ["m7"], "2"), root)
+    after = commits.latest(spark, root)[1]
+    changed = {t: [b for b in after[t] if after[t][b] != before[t].get(b)] for t in ("nodes", "links")}
+    # The medium's bucket, the genre's, and the link's.
+    assert len(changed["nodes"]) == 2 and len(changed["links"]) == 1
+    written = {t: sum(f.stat().st_size for b in changed[t] for f in (tmp_path / after[t][b]).glob("*.parquet"))
+               for t in ("nodes", "links")}
+    whole = {t: sum(f.stat().st_size for p in after[t].values() for f in (tmp_path / p).glob("*.parquet"))
+             for t in ("nodes", "links")}
+    assert written["nodes"] < whole["nodes"] / 4 and written["links"] < whole["links"] / 8
+    nodes, links = sinks.open_graph(spark, root)
+    values = {r._GRAPH_NODE_ID: r.attrs.get("v") for r in nodes.collect()}
+    assert len(values) == 401 and values["m7"] == "2" and values["m8"] == "1"
+    assert links.count() == 400
+
+
+def test_two_upserts_at_once_both_survive(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [graph_rows(spark, [f"{w}{i}" for i in range(20)], w) for w in "ab"]
+    threads = [threading.Thread(target=sinks.upsert_graph, args=(spark, *r, root, 4)) for r in rows]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    nodes, links = sinks.open_graph(spark, root)
+    assert sinks.current_version(spark, root) == 2
+    assert nodes.count() == 41 and links.count() == 40
 
 
 def test_executors_get_the_package(tmp_path):
