@@ -12,7 +12,8 @@ Texts are cut into words; every text ends in one end token, which is also what i
 Documents are packed into blocks of about `BLOCK_TOKENS` tokens, each with its own short list of words. All that
 crosses the network is a block's distinct words and pairs, never a row per token:
 
-1. words: counted over all blocks, numbered, and sent back to the blocks that hold them;
+1. words: counted over all blocks, numbered from the most frequent down, and sent back to the blocks that hold them.
+   A number tells the count as well, by a list of the counts that occur: no more than the root of twice the tokens;
 2. pairs: each block sends its distinct known pairs, as numbers, in one packed row per bucket. A bucket adds
    them up, keeps them as its part of the pair table, and answers every block in the order it was asked;
 3. contexts: what each bucket knows of a context (counts of counts, probability of the words seen after it) is
@@ -137,13 +138,14 @@ def learn_and_score(
         "block", "pos", F.col("w.words").alias("word"), F.col("w.taught").alias("taught")
     )
     counted = held.groupBy("word").agg(F.sum("taught").alias("c")).where("c > 0")
-    words = staged(numbered(staged(counted, "katz-counts"), ["word"], "id"), "katz-words")
-    unigrams = _unigrams(words)
+    counted = staged(counted.withColumn("rare", -F.col("c")), "katz-counts")
+    words = staged(numbered(counted, ["rare", "word"], "id").drop("rare"), "katz-words")
+    unigrams, counts = _unigrams(words), _Counts.of(words)
     known = staged(
         held.join(words, "word")
         .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "id", "c"))).alias("known"))
-        .mapInArrow(_packed_known, "block long, pos binary, ids binary, counts binary"),
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("known"))
+        .mapInArrow(_packed_known, "block long, pos binary, ids binary"),
         "katz-known",
     )
     entries = blocks.select(F.sum(F.size("taught"))).first()[0] or 0
@@ -152,11 +154,11 @@ def learn_and_score(
         blocks.select("block", "teaches", "sizes", "tokens")
         .join(known, "block")
         .mapInArrow(
-            _asker(buckets, split), "bucket long, block long, first binary, second binary, n binary, c binary"
+            _asker(counts, buckets, split), "bucket long, block long, first binary, second binary, n binary"
         )
         .groupBy("bucket")
         .applyInArrow(
-            _adder(unigrams),
+            _adder(unigrams, counts),
             "bucket long, block long, counts binary, first array<long>, mass array<double>, large array<long>, "
             + ", ".join(f"{s} array<int>" for s in _SEEN)
             + ", opens array<int>, second array<long>, c array<int>",
@@ -181,7 +183,7 @@ def learn_and_score(
         .join(behind, "block", "left")
         .join(replies, "block", "left")
         .mapInArrow(
-            _scorer(buckets, split, unigrams, rates),
+            _scorer(counts, buckets, split, unigrams, rates),
             f"key {kind}, n_tokens long, n_known long, base_score double, score double",
         )
     )
@@ -203,6 +205,24 @@ def learn_and_score(
     return Katz(unigrams, rates, words, contexts, pairs, scores)
 
 
+@dataclass(frozen=True)
+class _Counts:
+    """The count of a word from its number: numbers go by falling count."""
+
+    first: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, words: DataFrame) -> _Counts:
+        """One entry per count that occurs: n different counts need n (n + 1) / 2 tokens."""
+        steps = sorted(tuple(r) for r in words.groupBy("c").agg(F.min("id").alias("id")).select("id", "c").collect())
+        first, counts = np.array(steps, dtype=np.int64).reshape(-1, 2).T
+        return cls(first, counts)
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        return self.counts[np.searchsorted(self.first, ids, side="right") - 1] if len(ids) else ids
+
+
 def _unigrams(words: DataFrame) -> Discounted:
     row = words.agg(
         F.sum("c"), F.count(F.lit(1)), *(F.count_if(F.col("c") == r) for r in range(1, K + 2))
@@ -272,7 +292,6 @@ def _packed_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     "block": [batch.column("block")[i].as_py()],
                     "pos": [_pack(known["pos"].astype("<i4"))],
                     "ids": [_pack(known["id"].astype("<i8"))],
-                    "counts": [_pack(known["c"].astype("<i8"))],
                 }
             )
 
@@ -341,7 +360,7 @@ def _block(places: defaultdict, docs: list[tuple], kind: pa.DataType) -> dict:
 class _Opened:
     """A block with the numbers and counts of its known words."""
 
-    def __init__(self, batch: pa.RecordBatch, i: int):
+    def __init__(self, batch: pa.RecordBatch, i: int, counts: _Counts):
         self.block = batch.column("block")[i].as_py()
         self.sizes = _values(batch, "sizes", i)
         self.tokens = _unpack(batch.column("tokens")[i].as_py(), "<i4")
@@ -349,9 +368,9 @@ class _Opened:
         self.ids = np.full(n, -1, dtype=np.int64)
         self.counts = np.zeros(n, dtype=np.int64)
         if batch.column("pos")[i].is_valid:
-            pos, ids, counts = (batch.column(c)[i].as_py() for c in ("pos", "ids", "counts"))
-            pos = _unpack(pos, "<i4")
-            self.ids[pos], self.counts[pos] = _unpack(ids, "<i8"), _unpack(counts, "<i8")
+            pos, ids = (batch.column(c)[i].as_py() for c in ("pos", "ids"))
+            pos, ids = _unpack(pos, "<i4"), _unpack(ids, "<i8")
+            self.ids[pos], self.counts[pos] = ids, counts(ids)
         # The token before a text's first is the end token of the one before it, or place 0 at the very start.
         left = np.concatenate([self.tokens[:1] * 0, self.tokens[:-1]]).astype(np.int64)
         self.pairs, self.nth = np.unique(left * n + self.tokens, return_inverse=True)
@@ -389,38 +408,38 @@ def _fields(batch: pa.RecordBatch, column: str, i: int) -> dict[str, np.ndarray]
     return {f.name: cell.values.field(f.name).to_numpy(zero_copy_only=False) for f in fields}
 
 
-def _asker(buckets: int, split: int):
+def _asker(counts: _Counts, buckets: int, split: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block = _Opened(batch, i)
+                block = _Opened(batch, i, counts)
                 teaches = np.repeat(_values(batch, "teaches", i).astype(bool), block.sizes)
                 n = np.bincount(block.nth[teaches], minlength=len(block.pairs)).astype(np.int32)
                 order, bucket = block.order(buckets, split)
                 first, second = block.first[order], block.second[order]
-                columns = (block.ids[first], block.ids[second], n[order], block.counts[second])
+                columns = (block.ids[first], block.ids[second], n[order])
                 opens = np.flatnonzero(np.diff(bucket, prepend=-1))
                 made = [
                     (int(bucket[a]), block.block, *(_pack(c[a:b]) for c in columns))
                     for a, b in zip(opens, [*opens[1:], len(order)])
                 ]
-                names = ["bucket", "block", "first", "second", "n", "c"]
+                names = ["bucket", "block", "first", "second", "n"]
                 if made:
                     yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*made)))))
 
     return ask
 
 
-def _adder(unigrams: Discounted):
+def _adder(unigrams: Discounted, counts: _Counts):
     """Adds up a bucket's pairs, answers its blocks and keeps its part of the tables."""
 
     def add(bucket: pa.Table) -> pa.Table:
         read = {
             name: [_unpack(x, kind) for x in bucket.column(name).to_pylist()]
-            for name, kind in (("first", "<i8"), ("second", "<i8"), ("n", "<i4"), ("c", "<i8"))
+            for name, kind in (("first", "<i8"), ("second", "<i8"), ("n", "<i4"))
         }
         lengths = [len(x) for x in read["n"]]
-        first, second, n, word = (np.concatenate(read[name]) for name in ("first", "second", "n", "c"))
+        first, second, n = (np.concatenate(read[name]) for name in ("first", "second", "n"))
         by = np.lexsort((second, first))
         opens = np.flatnonzero((np.diff(first[by], prepend=-1) != 0) | (np.diff(second[by], prepend=-1) != 0))
         sums = np.add.reduceat(n[by].astype(np.int64), opens)
@@ -428,7 +447,7 @@ def _adder(unigrams: Discounted):
         found[by] = np.repeat(sums, np.diff(opens, append=len(n)))
         answers = [_pack(x.astype("<i4")) for x in np.split(found, np.cumsum(lengths)[:-1])]
         kept = opens[sums > 0]
-        first, second, word, c = first[by][kept], second[by][kept], word[by][kept], sums[sums > 0]
+        first, second, c = first[by][kept], second[by][kept], sums[sums > 0]
         starts = np.flatnonzero(np.diff(first, prepend=-1))
 
         def per_context(x: np.ndarray) -> np.ndarray:
@@ -436,7 +455,7 @@ def _adder(unigrams: Discounted):
 
         table = {
             "first": first[starts],
-            "mass": per_context(unigrams.share(word)),
+            "mass": per_context(unigrams.share(counts(second))),
             "large": per_context(np.where(c > K, c, 0)),
             **{s: per_context((c == r).astype(np.int32)) for r, s in enumerate(_SEEN, 1)},
             "opens": np.append(starts, len(first)).astype(np.int32),
@@ -461,7 +480,7 @@ def _adder(unigrams: Discounted):
     return add
 
 
-def _scorer(buckets: int, split: int, unigrams: Discounted, rates: tuple[float, ...]):
+def _scorer(counts: _Counts, buckets: int, split: int, unigrams: Discounted, rates: tuple[float, ...]):
     unknown = math.log10(unigrams.left)
     spread = unigrams.total + 0.5 * (unigrams.distinct + 1)
 
@@ -471,23 +490,23 @@ def _scorer(buckets: int, split: int, unigrams: Discounted, rates: tuple[float,
                 yield scored(batch, i)
 
     def scored(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
-        block = _Opened(batch, i)
+        block = _Opened(batch, i, counts)
         total = np.zeros(len(block.ids), dtype=np.int64)
         log_alpha = np.zeros(len(block.ids))
         contexts = _fields(batch, "contexts", i)
         if contexts is not None:
             total[contexts["pos"]] = contexts["total"]
             log_alpha[contexts["pos"]] = contexts["log_alpha"]
-        counts = np.zeros(len(block.pairs), dtype=np.int64)
+        found = np.zeros(len(block.pairs), dtype=np.int64)
         replies = batch.column("replies")[i].as_py()
         if replies:
             order, _ = block.order(buckets, split)
-            counts[order] = np.concatenate([_unpack(r["counts"], "<i4") for r in replies])
+            found[order] = np.concatenate([_unpack(r["counts"], "<i4") for r in replies])
         word = np.where(block.counts > 0, _log10(unigrams.share(block.counts)), unknown)
         # The recursion, once per distinct pair: the pair itself, else backoff weight times the word.
         log_p = log_alpha[block.first] + word[block.second]
-        seen = np.flatnonzero(counts)
-        log_p[seen] = np.log10(_reduced(counts[seen], rates) / total[block.first[seen]])
+        seen = np.flatnonzero(found)
+        log_p[seen] = np.log10(_reduced(found[seen], rates) / total[block.first[seen]])
         base = np.log10((block.counts + 0.5) / spread)
         starts = np.concatenate([[0], np.cumsum(block.sizes)[:-1]])
         return pa.RecordBatch.from_pydict(
