@@ -11,6 +11,8 @@ from reelhouse.operators.clustering import cluster_attribute
 from reelhouse.operators.roles import contributors
 from reelhouse.plans import standins
 from reelhouse.plans.catalog.registry import also, key, query
+from reelhouse.session import run_dir
+from reelhouse.sources import sinks
 from reelhouse.sources.readers import limit_per_group
 
 table = standins.table
@@ -641,6 +643,45 @@ def links_upsert(spark, sf):
     return _flat_links(final, graph.ATTRS, "company_role")
 
 
+@query(
+    "sink_graph_stored",
+    """
+    SELECT 'link' AS kind, primary_title AS source, 'associated_with' AS label, company_name AS target,
+           NULL AS media_type
+    FROM company_rows JOIN media ON media.id = ref_id GROUP BY 2, 4
+    UNION ALL
+    SELECT DISTINCT 'node', NULL, 'Company', company_name, NULL FROM company_rows
+    UNION ALL
+    SELECT 'node', NULL, 'Media', primary_title, arg_max(media_type, part_key) FROM media GROUP BY 4""",
+)
+def graph_stored(spark, sf):
+    """The stored graph after two runs: publishers and every medium first, then developers."""
+    root = run_dir(spark, "graph")
+    links, targets, name = _links(spark, sf, "company")
+    media = _nodes(spark, sf)
+    companies = graph.nodes(targets.select(name, "company_role", F.lit(0).alias("seq")), name, "Company")
+    for role in ("publisher", "developer"):
+        nodes = companies.where(F.col("attrs")["company_role"] == role)
+        both = graph.union_all(media, nodes) if role == "publisher" else nodes
+        sinks.upsert_graph(spark, both, links.where(F.col("attrs")["company_role"] == role), root)
+    stored, kept = sinks.open_graph(spark, root)
+    as_nodes = stored.select(
+        F.lit("node").alias("kind"),
+        F.lit(None).cast("string").alias("source"),
+        F.col("_GRAPH_NODE_LABEL").alias("label"),
+        F.col("_GRAPH_NODE_ID").alias("target"),
+        F.col("attrs")["media_type"].alias("media_type"),
+    )
+    as_links = kept.select(
+        F.lit("link").alias("kind"),
+        F.col("_GRAPH_SRC_NODE_ID").alias("source"),
+        F.col("_GRAPH_LINK_LABEL").alias("label"),
+        F.col("_GRAPH_TRGT_NODE_ID").alias("target"),
+        F.lit(None).cast("string").alias("media_type"),
+    )
+    return as_links.unionByName(as_nodes)
+
+
 @query(
     "join_endpoint_semi",
     """SELECT c_name AS source, n_name AS target FROM customer JOIN nation

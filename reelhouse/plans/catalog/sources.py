@@ -6,12 +6,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.operators import quality
-from reelhouse.plans import standins
+from reelhouse.plans import standins, star
 from reelhouse.plans.catalog.registry import key, query
 from reelhouse.schemas import WAREHOUSE
 from reelhouse.session import run_dir
 from reelhouse.sources import readers, sinks
-from reelhouse.streaming.incremental import ingest_new_files, ingested
+from reelhouse.streaming.incremental import (
+    ingest_new_files,
+    ingest_warehouse,
+    ingested,
+    newer_than_marks,
+    newest,
+)
 
 table = standins.table
 
@@ -190,14 +196,76 @@ def pages(spark, sf):
     return readers.pages(spark, f"{sf}/pages.parquet").withColumn("html", F.md5("html"))
 
 
-@query("inc_file_ingest", "SELECT event_id, user_id, event_type, \"value\", props FROM events")
+@query("inc_file_ingest", "SELECT event_id, ts, user_id, event_type, \"value\", props FROM events")
 def file_ingest(spark, sf):
     """Two runs over the same folder; the second finds nothing new."""
     target, checkpoint = run_dir(spark, "ingested"), run_dir(spark, "ingest-state")
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     for _ in range(2):
         ingest_new_files(spark, sf, schema, target, checkpoint, glob="events.parquet")
-    return ingested(spark, target).drop("ts")
+    return ingested(spark, target)
+
+
+@query(
+    "inc_warehouse_publish",
+    f"""
+    WITH said AS (
+      SELECT o.media_id, category, {key("reviewer_username", "association")} AS reviewer_id,
+             {key('"year"', '"month"', '"day"')} AS time_id, section_name, reviewer_username, association, "year",
+             "month", "day",
+             CASE category WHEN 'GAMES' THEN 'Platform' WHEN 'TV_SHOWS' THEN 'Season' ELSE 'Display' END AS section_type
+      FROM order_docs o JOIN reviews r ON r.order_key = o.order_key AND r.media_info_id = {key("p_partkey")}),
+    made AS (
+      SELECT media_id, 'production_companies' AS company_role, p_brand AS company_name FROM order_docs
+      WHERE category <> 'GAMES'
+      UNION SELECT media_id, 'developer', p_brand FROM order_docs WHERE category = 'GAMES'
+      UNION SELECT media_id, 'publisher', unnest([p_brand, p_type]) FROM order_docs WHERE category = 'GAMES'),
+    listed AS (SELECT DISTINCT media_id, genre FROM order_docs, unnest(string_split(p_name, ' ')) AS u(genre))
+    SELECT 'COMPANIES' AS table_name, count(DISTINCT (company_role, company_name)) AS "rows" FROM made
+    UNION ALL SELECT 'GENRES', count(DISTINCT genre) FROM listed
+    UNION ALL SELECT 'ROLES', 0
+    UNION ALL SELECT 'DIM_MEDIA_INFO', count(DISTINCT media_id) FROM order_docs
+    UNION ALL SELECT 'DIM_SECTION', count(DISTINCT (section_name, section_type)) FROM said
+    UNION ALL SELECT 'DIM_REVIEWER', count(DISTINCT reviewer_id) FROM said
+    UNION ALL SELECT 'DIM_TIME', count(DISTINCT time_id) FROM said
+    UNION ALL SELECT 'BRIDGE_MEDIA_ROLE', 0
+    UNION ALL SELECT 'BRIDGE_MEDIA_GENRE', count(*) FROM listed
+    UNION ALL SELECT 'BRIDGE_MEDIA_COMPANY', count(*) FROM made
+    UNION ALL SELECT 'FACT_REVIEWS', count(DISTINCT (media_id, reviewer_id, time_id, section_name)) FROM said""",
+)
+def warehouse_stream(spark, sf):
+    """Documents of the landing folder into the warehouse in several batches, and a second run that finds none."""
+    landing = run_dir(spark, "landing")
+    docs = standins.documents(spark, sf, with_reviews=True).select(
+        "category", "title", "tv_title", "game_title", "media_details", "critic_reviews", "user_reviews"
+    )
+    sinks.json_docs(docs, landing)
+    files = spark.read.format("binaryFile").load(f"{landing}/*/*.json").select("path").count()
+    root, state = run_dir(spark, "streamed"), run_dir(spark, "streamed-state")
+    for _ in range(2):
+        ingest_warehouse(
+            spark, landing, root, state, star.document_tables, multi_line=False, files_per_batch=-(-files // 3)
+        )
+    return sinks.row_counts(sinks.open_warehouse(spark, root))
+
+
+@query(
+    "inc_listing_mark",
+    """
+    WITH middle AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half FROM events),
+    marks AS (SELECT event_type, max((ts, event_id)) AS mark FROM events, middle WHERE ts <= half GROUP BY 1)
+    SELECT e.event_type, e.event_id, e.user_id FROM events e LEFT JOIN marks m USING (event_type)
+    WHERE mark IS NULL OR (e.ts, e.event_id) > mark""",
+)
+def listing_mark(spark, sf):
+    """What a listing of events by type has before the newest item of an earlier run."""
+    events = table(spark, sf, "events")
+    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    middle = F.expr("low + (high - low) / 2").alias("middle")
+    place = F.struct("ts", "event_id")
+    earlier = events.where(F.col("ts") <= F.lit(span.select(middle).first()[0]))
+    marks = newest(earlier, "event_type", "event_id", place)
+    return newer_than_marks(events, marks, "event_type", "event_id", place).select("event_type", "event_id", "user_id")
 
 
 @query("sink_csv_pipe", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
