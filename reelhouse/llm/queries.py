@@ -148,7 +148,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps once all bytes in repeated strings of 400 are gone."""
     return repeats.cut_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        "kept_sha256",
+        (F.col("n_removed") > 0).alias("repeats"),
     )
 
 

@@ -260,9 +260,11 @@ def _judged(names: DataFrame, last: bool) -> DataFrame:
         split = unsettled.select(
             *key, no_span.alias("done"), F.struct("lo", "n", "d", "witness").alias("open")
         )
+        # Staged for the same reason as the counts above.
+        cores = staged(unsettled.select("core").distinct(), "pfp-cores")
         beside = (
             found.where("_repeated or witness")
-            .join(unsettled.select("core").distinct(), "core", "left_semi")
+            .join(cores, "core", "left_semi")
             .groupBy("core", "f1", "f2")
             .agg(F.min(F.struct(*key, "lo", "n", "d")).alias("_w"))
         )
