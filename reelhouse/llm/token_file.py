@@ -84,15 +84,26 @@ class Encoder:
         if len(self.heads) + len(self.cache) + len(self.tails) > CACHE_WORDS:
             for kept in (self.heads, self.cache, self.tails):
                 kept.clear()
-        heads, rests = [], []
+        # Each word is looked up once; texts with words not met before wait until these are learnt.
+        get, end, made, waiting = self.cache.get, self.end, [], []
+        heads, unknown = set(), set()
         for text in texts:
-            head, *rest = self._words(text)
-            heads.append(head)
-            rests.append(rest)
-        self._learn(self.heads, set(heads).difference(self.heads), "")
-        self._learn(self.cache, set().union(*rests).difference(self.cache), " ")
-        get, end = self.cache.__getitem__, self.end
-        return [self.heads[h] + b"".join(map(get, rest)) + end for h, rest in zip(heads, rests)]
+            words = self._words(text)
+            first = self.heads.get(words[0])
+            found = [first, *map(get, words[1:])]
+            if None in found:
+                waiting.append((len(made), words))
+                if first is None:
+                    heads.add(words[0])
+                unknown.update(w for w, ids in zip(words[1:], found[1:]) if ids is None)
+                made.append(b"")
+            else:
+                made.append(b"".join(found) + end)
+        self._learn(self.heads, heads, "")
+        self._learn(self.cache, unknown, " ")
+        for at, words in waiting:
+            made[at] = self.heads[words[0]] + b"".join(map(get, words[1:])) + end
+        return made
 
     def _words(self, text: str) -> list[str]:
         """The first word, and those after a blank without it; or the whole text alone."""
@@ -142,11 +153,14 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-STAGED = "part int, at long, doc_id long, n_tokens long, ids binary"
+STAGED = "part int, at long, doc_id long, n_tokens long, ids binary, seen binary"
 
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Stage (part, at, doc_id, n_tokens, ids): parts in id order, `at` the ids before in the part."""
+    """Stage (part, at, doc_id, n_tokens, ids): parts in id order, `at` the ids before in the part.
+
+    The last row of a part is no document: its `seen` counts each id of the part.
+    """
     spark = docs.sparkSession
     ordered = (
         docs.select("doc_id", whole("text").alias("text"))
@@ -156,21 +170,27 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
-        width = encoder.dtype.itemsize
+        width, seen = encoder.dtype.itemsize, np.zeros(1, np.int64)
+
+        def rows(at, doc_ids, counts, ids, seen):
+            parts = pa.array(np.full(len(counts), part, np.int32))
+            columns = [parts, pa.array(at), doc_ids, pa.array(counts), pa.array(ids, pa.binary())]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(seen, pa.binary())],
+                names=["part", "at", "doc_id", "n_tokens", "ids", "seen"],
+            )
+
         for batch in batches:
             made = encoder.batch(batch.column(1).to_pylist())
+            now = np.bincount(np.frombuffer(b"".join(made), encoder.dtype), minlength=len(seen))
+            now[: len(seen)] += seen
+            seen = now
             counts = np.array([len(b) // width for b in made], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(made), part, np.int32)),
-                    pa.array(at + np.cumsum(counts) - counts),
-                    batch.column(0),
-                    pa.array(counts),
-                    pa.array([_planes(b, width) for b in made], pa.binary()),
-                ],
-                names=["part", "at", "doc_id", "n_tokens", "ids"],
-            )
+            ids, nothing = [_planes(b, width) for b in made], [None] * len(made)
+            yield rows(at + np.cumsum(counts) - counts, batch.column(0), counts, ids, nothing)
             at += int(counts.sum())
+        none = np.zeros(1, np.int64)
+        yield rows(none + at, pa.array([None], pa.int64()), none, [b""], [seen.astype("<i8").tobytes()])
 
     path = run_dir(spark, "token-ids")
     ordered.mapInArrow(tokenize, STAGED).write.option("compression", "zstd").parquet(path)
@@ -191,18 +211,15 @@ def global_code(staged_ids: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(id, length) of the ids that occur. There are at most as many as the vocabulary has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1, np.int64)
         for batch in batches:
-            for n, planes in zip(batch.column(0).to_pylist(), batch.column(1)):
-                now = np.bincount(_from_planes(planes.as_py(), n))
-                if len(now) > len(seen):
-                    seen = np.concatenate([seen, np.zeros(len(now) - len(seen), np.int64)])
-                seen[: len(now)] += now
-        ids = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], names=["id", "n"])
+            for part in batch.column(0).to_pylist():
+                seen = np.frombuffer(part, "<i8")
+                ids = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(seen[ids])], names=["id", "n"])
 
     counted = (
-        staged_ids.select("n_tokens", "ids")
+        staged_ids.where("seen is not null")
+        .select("seen")
         .mapInArrow(count, "id long, n long")
         .groupBy("id")
         .agg(F.sum("n").alias("n"))
@@ -249,7 +266,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block_ids: int = BL
         if held:
             yield _block(code, held)
 
-    ids.mapInArrow(encode, BLOCK).write.parquet(f"{path}/blocks")
+    ids.where("seen is null").drop("seen").mapInArrow(encode, BLOCK).write.parquet(f"{path}/blocks")
 
 
 def _block(code: Code, held: list) -> pa.RecordBatch:
