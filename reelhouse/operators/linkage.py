@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import PART_SEPARATOR, composite_key
@@ -169,11 +170,11 @@ def best_per_target(pairs: DataFrame, targets: DataFrame, key: str, group: Colum
 def one_to_one_groups(pairs: DataFrame) -> DataFrame:
     """Greedy one-to-one assignment between groups: (a, b, similarity, taken, from_a, from_b).
 
-    The order is similarity descending, then least target key, then least candidate
-    key. In every round the pairs that come first for both their groups are taken,
-    as many rows as the smaller side has left, which is what working through the
-    whole order pair by pair would take. Each round uses up at least one group, so
-    the loop ends.
+    The order is similarity descending, then least target key, then least candidate key, and every pair takes as many
+    rows as the smaller side has left. In every round each group shows its first two pairs. A pair that
+    comes first on both sides is settled at once; one that comes first on one side and second on the other waits for
+    a single pair, and takes what that leaves. Such chains are contracted by pointer doubling (`_settled`), so a chain
+    of any length is settled in one round of logarithmically many steps. Each round uses up at least one group.
     """
     order = F.struct(
         (-F.col("similarity")).alias("s"), F.col("key_a").alias("ka"), F.col("key_b").alias("kb")
@@ -192,21 +193,17 @@ def one_to_one_groups(pairs: DataFrame) -> DataFrame:
     )
     rounds: list[DataFrame] = []
     while not open_.isEmpty():
-        first = F.min(F.struct("o", *[c for c in open_.columns if c != "o"])).alias("e")
-        for_a = open_.groupBy("a").agg(first).select("e.*")
-        for_b = open_.groupBy("b").agg(F.min("o").alias("o")).select("b", "o")
-        taken = cut_lineage(
-            for_a.join(for_b, ["b", "o"]).withColumn("taken", F.least("left_a", "left_b"))
-        )
-        if taken.isEmpty():
-            raise AssertionError("a matching round accepted nothing")
-        rounds.append(taken.select("a", "b", "similarity", "taken", "from_a", "from_b"))
-        used_a = taken.select("a", F.col("taken").alias("_ka"))
-        used_b = taken.select("b", F.col("taken").alias("_kb"))
+        settled = _settled(open_)
+        if settled.isEmpty():
+            raise AssertionError("a matching round settled nothing")
+        rounds.append(settled.where("taken > 0"))
+        # At most two settled pairs a group.
+        used_a = settled.groupBy("a").agg(F.sum("taken").alias("_ka"))
+        used_b = settled.groupBy("b").agg(F.sum("taken").alias("_kb"))
         ka, kb = (F.coalesce(c, F.lit(0)) for c in ("_ka", "_kb"))
         open_ = cut_lineage(
-            open_.join(used_a, "a", "left")
-            .join(used_b, "b", "left")
+            open_.join(cut_lineage(used_a), "a", "left")
+            .join(cut_lineage(used_b), "b", "left")
             .select(
                 "a",
                 "b",
@@ -226,6 +223,95 @@ def one_to_one_groups(pairs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rounds)
 
 
+def _settled(open_: DataFrame) -> DataFrame:
+    """(a, b, similarity, taken, from_a, from_b) of the pairs that this round can settle.
+
+    What a waiting pair takes, as a function of what the pair before it takes, is `-x + c` cut off at `low` and `high`.
+    Such functions compose to functions `sign * x + c` of the same form, so a chain is contracted by letting every
+    pair point past the pair it points to, twice as far in each step.
+    """
+
+    def first_two(side: str) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(side).orderBy("o"))
+        return open_.withColumn(f"rank_{side}", rank).where(F.col(f"rank_{side}") <= 2)
+
+    of_a, of_b = cut_lineage(first_two("a")), cut_lineage(first_two("b").select("a", "b", "rank_b"))
+    before_a = of_a.where("rank_a = 1").select("a", F.col("b").alias("first_b"))
+    before_b = of_b.where("rank_b = 1").select("b", F.col("a").alias("first_a"))
+    small = F.least("left_a", "left_b")
+    heads, by_a = (F.col("rank_a") + F.col("rank_b") == 2), F.col("rank_a") == 2
+    chain = (
+        of_a.join(of_b, ["a", "b"])
+        .where("rank_a + rank_b < 4")
+        .join(before_a, "a")
+        .join(before_b, "b")
+        .select(
+            "a",
+            "b",
+            "similarity",
+            "from_a",
+            "from_b",
+            by_a.alias("by_a"),
+            # The pair waited for, and the one the function below is of.
+            F.when(~heads, F.when(by_a, F.col("a")).otherwise(F.col("first_a"))).alias("wait_a"),
+            F.when(~heads, F.when(by_a, F.col("first_b")).otherwise(F.col("b"))).alias("wait_b"),
+            F.lit(-1).alias("sign"),
+            F.when(by_a, F.col("left_a")).otherwise(F.col("left_b")).alias("c"),
+            F.when(heads, small).otherwise(F.lit(0)).cast("long").alias("low"),
+            small.alias("high"),
+        )
+        .withColumns({"to_a": F.col("wait_a"), "to_b": F.col("wait_b"), "stuck": F.lit(False)})
+    )
+    chain = cut_lineage(chain)
+    names = ["sign", "c", "low", "high", "to_a", "to_b", "stuck"]
+    while not chain.where("to_a is not null and not stuck").isEmpty():
+        behind = chain.select(
+            F.col("a").alias("to_a"), F.col("b").alias("to_b"), F.struct(*names).alias("p")
+        )
+        done = F.col("to_a").isNull() | F.col("stuck")
+        met = chain.join(behind, ["to_a", "to_b"], "left")
+        p, sign, c = F.col("p"), F.col("sign"), F.col("c")
+        ends = (sign * p["low"] + c, sign * p["high"] + c)
+        cut = [F.greatest("low", F.least("high", f(*ends))) for f in (F.least, F.greatest)]
+        past = {
+            "sign": sign * p["sign"],
+            "c": sign * p["c"] + c,
+            "low": cut[0],
+            "high": cut[1],
+            "to_a": p["to_a"],
+            "to_b": p["to_b"],
+            "stuck": p["stuck"],
+        }
+        # A pair that waits for one outside the chains stays where it is.
+        chain = cut_lineage(
+            met.select(
+                *[x for x in chain.columns if x not in names],
+                *[
+                    F.when(done, F.col(x))
+                    .when(p.isNull(), F.lit(True) if x == "stuck" else F.col(x))
+                    .otherwise(past[x])
+                    .alias(x)
+                    for x in names
+                ],
+            )
+        )
+    settled = chain.where("to_a is null").withColumn("taken", F.col("low"))
+    waited = settled.select(
+        F.col("a").alias("wait_a"), F.col("b").alias("wait_b"), F.col("taken").alias("before")
+    )
+    before = F.coalesce("before", F.lit(0))
+    return cut_lineage(
+        settled.join(waited, ["wait_a", "wait_b"], "left").select(
+            "a",
+            "b",
+            "similarity",
+            "taken",
+            F.when(F.col("by_a"), F.col("from_a") + before).otherwise(F.col("from_a")).alias("from_a"),
+            F.when(F.col("by_a"), F.col("from_b")).otherwise(F.col("from_b") + before).alias("from_b"),
+        )
+    )
+
+
 def _slots(taken: DataFrame) -> DataFrame:
     """One row per matched row pair; long runs are opened in two steps."""
     step = F.lit(SLOTS_PER_ROW).cast("long")

@@ -141,3 +141,57 @@ def test_year_band_pairs_once(spark):
     left = spark.createDataFrame([(1990,), (None,)], "a int")
     right = spark.createDataFrame([(y,) for y in (1988, 1989, 1990, 1991, 1992)], "b int")
     assert sorted(r.b for r in L.year_band(left, right, "a", "b").collect()) == [1989, 1990, 1991]
+
+
+PAIRS = "a string, b string, similarity double, key_a string, key_b string, n_a long, n_b long"
+
+
+def greedy(pairs):
+    """The assignment worked through pair by pair."""
+    left_a = {p[0]: p[5] for p in pairs}
+    left_b = {p[1]: p[6] for p in pairs}
+    from_a, from_b = dict.fromkeys(left_a, 0), dict.fromkeys(left_b, 0)
+    found = set()
+    for a, b, s, *_ in sorted(pairs, key=lambda p: (-p[2], p[3], p[4])):
+        taken = min(left_a[a], left_b[b])
+        if taken:
+            found.add((a, b, s, taken, from_a[a], from_b[b]))
+            left_a[a] -= taken
+            left_b[b] -= taken
+            from_a[a] += taken
+            from_b[b] += taken
+    return found
+
+
+def chain(n, count):
+    """A falling path a0 b0 a1 b1 ...: every pair waits for the one before."""
+    pairs = []
+    for i in range(n):
+        a, b = (i + 1) // 2, i // 2
+        pairs.append((f"a{a:06}", f"b{b:06}", 1 - i / (2 * n), f"a{a:06}", f"b{b:06}"))
+    sizes = {}
+    rng = random.Random(n)
+    for p in pairs:
+        for side in p[:2]:
+            sizes.setdefault(side, rng.randint(1, count))
+    return [(*p, sizes[p[0]], sizes[p[1]]) for p in pairs]
+
+
+@pytest.mark.parametrize("count", [1, 5])
+def test_a_falling_chain_takes_logarithmic_rounds(spark, monkeypatch, count):
+    pairs = chain(10_000, count)
+    steps, cut = [], L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    got = L.one_to_one_groups(spark.createDataFrame(pairs, PAIRS)).collect()
+    assert {tuple(r) for r in got} == greedy(pairs) and len(got) == len(greedy(pairs))
+    assert len(steps) < 30
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_assignment_of_groups_equals_the_greedy_one(spark, seed):
+    rng = random.Random(seed)
+    n_a, n_b = {f"a{i}": rng.choice([1, 1, 2, 7]) for i in range(25)}, {f"b{i}": rng.choice([1, 1, 3, 9]) for i in range(25)}
+    chosen = rng.sample([(a, b) for a in n_a for b in n_b], 160)
+    pairs = [(a, b, rng.choice([0.6, 0.75, 0.8, 1.0]), a, b, n_a[a], n_b[b]) for a, b in chosen]
+    got = L.one_to_one_groups(spark.createDataFrame(pairs, PAIRS)).collect()
+    assert {tuple(r) for r in got} == greedy(pairs) and len(got) == len(greedy(pairs))
