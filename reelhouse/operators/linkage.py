@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.functions.keys import PART_SEPARATOR, composite_key
 from reelhouse.operators.ranking import rank_within
 from reelhouse.operators.setjoin import GROUP_LIMIT, similar_sets
-from reelhouse.session import cut_lineage
+from reelhouse.session import cut_lineage, staged
 
 SLOTS_PER_ROW = 10_000
 
@@ -352,13 +352,22 @@ def one_to_one(
     )
 
 
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`df` written to the shared folder, and how many rows that write saw.
+
+    The count is an observed metric of the write itself, so nothing is read a second time to be counted. It is taken in
+    the stage that writes, where a task counts once however often it runs.
+    """
+    seen = Observation()
+    kept = staged(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return kept, seen.get["rows"]
+
+
 def match_coverage(
-    targets: DataFrame, matches: DataFrame, scanned: DataFrame, cleaned: DataFrame
+    spark: SparkSession, scanned: int, cleaned: int, targets: int, matched: int
 ) -> DataFrame:
     """One row: candidate rows scanned and left after cleaning, targets, matches, their share."""
-    parts = {"scanned": scanned, "cleaned": cleaned, "targets": targets, "matched": matches}
-    tagged = reduce(
-        DataFrame.unionByName, [df.select(F.lit(name).alias("of")) for name, df in parts.items()]
+    counts = spark.createDataFrame(
+        [(scanned, cleaned, targets, matched)], "scanned long, cleaned long, targets long, matched long"
     )
-    counted = tagged.agg(*[F.count(F.when(F.col("of") == name, 1)).alias(name) for name in parts])
-    return counted.withColumn("coverage", F.col("matched") / F.nullif(F.col("targets"), F.lit(0)))
+    return counts.withColumn("coverage", F.col("matched") / F.nullif(F.col("targets"), F.lit(0)))

@@ -25,10 +25,13 @@ _COUNT = "nullif(len(string_split(sentence, ' ')), 7)"
 
 
 def _sentences(spark, sf, name, id_col, tokens=normalize_title):
-    rows = standins.sentences(spark, sf, name, id_col)
-    count = F.size(F.split("sentence", " "))
     # A sentence said twice in one text is one row.
-    return rows.distinct().select(
+    return _named(standins.sentences(spark, sf, name, id_col).distinct(), id_col, tokens)
+
+
+def _named(rows, id_col, tokens=normalize_title):
+    count = F.size(F.split("sentence", " "))
+    return rows.select(
         F.concat_ws(":", F.col(id_col).cast("string"), "sentence").alias("key"),
         token_set(tokens(F.col("sentence"))).alias("tokens"),
         F.nullif(count, F.lit(7)).alias("n_words"),
@@ -38,6 +41,10 @@ def _sentences(spark, sf, name, id_col, tokens=normalize_title):
 def _linkage(spark, sf, tokens=normalize_title, threshold=0.6):
     left = _sentences(spark, sf, "benchmark", "item_id", tokens)
     right = _sentences(spark, sf, "documents", "doc_id", tokens)
+    return _paired(left, right, threshold)
+
+
+def _paired(left, right, threshold=0.6):
     groups = [linkage.copy_groups(s, "key", "tokens", (), BANDS) for s in (left, right)]
     similar = linkage.similar_groups(*groups, bands=BANDS, threshold=threshold)
     return left, right, groups, linkage.fuzzy_pairs(*groups, similar)
@@ -113,9 +120,12 @@ also("win_best_candidate", "join_best_per_target")
 
 
 def _matches(spark, sf):
-    left, right, _, pairs = _linkage(spark, sf)
+    return _assigned(*_linkage(spark, sf))
+
+
+def _assigned(left, right, _, pairs):
     group = linkage.copy_group("tokens", (), BANDS)
-    return left, linkage.one_to_one(pairs, left, right, "key", group)
+    return linkage.one_to_one(pairs, left, right, "key", group)
 
 
 # Each round takes the pairs that come first for both their groups of copies, as many rows as
@@ -164,7 +174,7 @@ _ASSIGNED = _ASSIGNED.replace("MEMBERS_A", _members("wanted")).replace(
 
 @query("join_one_to_one_best", _ASSIGNED + "SELECT * FROM matches")
 def one_to_one_best(spark, sf):
-    return _matches(spark, sf)[1]
+    return _matches(spark, sf)
 
 
 @query(
@@ -178,9 +188,12 @@ def one_to_one_best(spark, sf):
                  (SELECT count(*) FROM matches) AS matched)""",
 )
 def match_coverage(spark, sf):
-    left, matches = _matches(spark, sf)
-    scanned = standins.sentences(spark, sf, "documents", "doc_id")
-    return linkage.match_coverage(left, matches, scanned, scanned.distinct())
+    """The linkage from one scan of either side; every count comes from a write the linkage needs anyway."""
+    rows, scanned = linkage.counted(standins.sentences(spark, sf, "documents", "doc_id"), "scanned")
+    right, cleaned = linkage.counted(_named(rows.distinct(), "doc_id"), "cleaned")
+    left, targets = linkage.counted(_sentences(spark, sf, "benchmark", "item_id"), "targets")
+    _, matched = linkage.counted(_assigned(*_paired(left, right)), "matched")
+    return linkage.match_coverage(spark, scanned, cleaned, targets, matched)
 
 
 # ---- clustering of sentences within the speaker's role -------------------------------

@@ -68,7 +68,7 @@ also("set_union_companies", "prj_companies")
 
 
 @query(
-    "prj_reviews",
+    "prj_reviews_order",
     """
     SELECT media_id AS media_info_id, rating, "year", "month", "day", reviewer_username,
            association, is_critic,
@@ -83,7 +83,7 @@ def review_rows(spark, sf):
 
 
 @query(
-    "set_union_reviews",
+    "set_union_reviews_order",
     """
     SELECT p_partkey, CASE WHEN is_critic THEN 0 ELSE 1 END AS source, section_name,
            rank - 1 AS pos, reviewer_username AS author, rating
@@ -103,7 +103,7 @@ def union_reviews(spark, sf):
 
 
 @query(
-    "agg_review_count",
+    "agg_review_count_order",
     """
     SELECT p_partkey, CAST(count(media_info_id) AS INTEGER) AS reviews
     FROM order_docs d LEFT JOIN doc_reviews r
@@ -116,9 +116,9 @@ def review_count(spark, sf):
     return docs.select("p_partkey", reviews.review_count(docs).alias("reviews"))
 
 
-# The same operators over one document per medium with all its reviews.
+# The survey's operators: one document per medium with all its reviews. Those above take one per part and order.
 @query(
-    "prj_reviews_media",
+    "prj_reviews",
     """
     SELECT media_id AS media_info_id, rating, "year", "month", "day", reviewer_username,
            association, is_critic,
@@ -133,7 +133,7 @@ def media_review_rows(spark, sf):
 
 
 @query(
-    "set_union_reviews_media",
+    "set_union_reviews",
     """
     SELECT p_partkey, CASE WHEN is_critic THEN 0 ELSE 1 END AS source, section_name,
            rank - 1 AS pos, reviewer_username AS author, rating
@@ -153,7 +153,7 @@ def media_union_reviews(spark, sf):
 
 
 @query(
-    "agg_review_count_media",
+    "agg_review_count",
     """
     SELECT p_partkey, count(media_info_id) AS reviews
     FROM docs LEFT JOIN reviews ON media_info_id = """
@@ -392,7 +392,7 @@ def merge_rows(spark, sf):
 
 
 @query(
-    "ext_section_reviews",
+    "ext_section_reviews_order",
     f"""
     SELECT p_partkey, section_name, is_critic, CAST(count(*) AS INTEGER) AS reviews,
            arg_min(reviewer_username, rank) AS first_author,
@@ -421,11 +421,10 @@ def section_reviews(spark, sf):
     )
 
 
-also("fn_map_items", "ext_section_reviews")
 
 
 @query(
-    "ext_section_reviews_media",
+    "ext_section_reviews",
     f"""
     SELECT p_partkey, section_name, is_critic, count(*) AS reviews,
            arg_min(reviewer_username, rank) AS first_author,
@@ -452,7 +451,9 @@ def media_section_reviews(spark, sf):
     )
 
 
-also("fn_map_items_media", "ext_section_reviews_media")
+also("fn_map_items", "ext_section_reviews")
+for _name in ("prj_reviews", "set_union_reviews", "agg_review_count", "ext_section_reviews", "fn_map_items"):
+    also(f"{_name}_media", _name)
 
 
 @query(

@@ -123,6 +123,10 @@ def delimited(spark, sf):
     UNION ALL SELECT 'COMPANIES', p_brand, count(*) FROM part GROUP BY 2""",
 )
 def multi_table_json(spark, sf):
+    return _table_counts(spark, sf, multi_line=False)
+
+
+def _table_counts(spark, sf, multi_line):
     path = run_dir(spark, "tables-json")
     genres = F.transform(F.split("p_name", " "), lambda g: F.struct(g.alias("name")))
     companies = F.array(F.struct(F.col("p_brand").alias("name")))
@@ -131,7 +135,7 @@ def multi_table_json(spark, sf):
     ).write.text(path)
     named = T.StructType([T.StructField("name", T.StringType())])
     tables = readers.multi_table_json(
-        spark, path, {"GENRES": named, "COMPANIES": named}, multi_line=False
+        spark, path, {"GENRES": named, "COMPANIES": named}, multi_line=multi_line
     )
     parts = [
         rows.groupBy(F.lit(name).alias("table_name"), "name").agg(F.count(F.lit(1)).alias("n"))
@@ -140,6 +144,17 @@ def multi_table_json(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "src_multi_table_stream",
+    """SELECT 'GENRES' AS table_name, genre AS name, count(*) AS n
+    FROM part, unnest(string_split(p_name, ' ')) AS u(genre) GROUP BY 2
+    UNION ALL SELECT 'COMPANIES', p_brand, count(*) FROM part GROUP BY 2""",
+)
+def multi_table_stream(spark, sf):
+    """The same files in pieces of a row."""
+    return _table_counts(spark, sf, multi_line=True)
+
+
 @query(
     "src_rows",
     """SELECT CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'partial' END AS label,

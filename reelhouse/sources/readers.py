@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from reelhouse.operators.filters import filter_rows
 from reelhouse.schemas import CATALOGUE, DOCUMENT
+from reelhouse.sources import table_json
 
 # Landing folder of a category, what its media are and what their
 # review sections are. Any other folder holds movies.
@@ -125,11 +126,13 @@ def multi_table_json(
 ) -> dict[str, DataFrame]:
     """One `{table: [rows]}` object per file; one DataFrame per table.
 
-    A JSON object cannot be split, so the unit of parallelism is the file; without
-    `multi_line` it is the line, one object each.
+    A file is read in pieces of one row at most (`table_json`), so it may be larger than a task's memory. Without
+    `multi_line` every line is an object and is read as one.
     """
+    if multi_line:
+        return table_json.tables(spark, path, tables)
     schema = T.StructType([T.StructField(n, T.ArrayType(s)) for n, s in tables.items()])
-    objects = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    objects = spark.read.schema(schema).json(path)
     return split_tables(objects, list(tables))
 
 
