@@ -2,15 +2,16 @@
 
 Every source has a target in words. A source is taken whole as often as its target holds it; the budget
 that is left is smaller than the source and is fitted exactly where that can be done: documents are
-counted by exact length, an even share of each length count is taken first, the longest documents that
-still fit come next, and a bounded-knapsack dynamic program over what remains of the counts closes the rest.
-The program sees counts by length only, never documents. Which documents of a length are taken is
-decided by a seeded hash.
+counted by exact length, every length gives the same share of its words, what does not come to a whole document being
+carried on to the next length, and a bounded-knapsack dynamic program over what remains of the counts closes the rest,
+which is less than two of the longest documents. So a length's chance depends neither on the length nor on the size of
+its source. The program sees counts by length only, never documents. Where the carrying starts is
+seeded by the source, and which documents of a length are taken by a seeded hash.
 
 What grows with the corpus stays on Spark: counting, the election within a length (by hash
 buckets, so that a length that a third of all rows share is no single group), the join of the decision. The
 dynamic program runs once per source over its distinct lengths, of which there are at most as many as
-the longest document has words; its bit set has at most `DP_BUDGET` bits.
+the longest document has words; its bit set has a bit for each word of what is left.
 
 Defined cases: a null or blank text has size 0 and is never taken. A null source is a source of its own, last
 in order. Repeated rows count and are elected each for itself. A corpus without words takes nothing.
@@ -33,7 +34,6 @@ from reelhouse.session import staged
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 SEED = 17
-DP_BUDGET = 1 << 16
 HASH_BUCKETS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -88,10 +88,13 @@ def targets(
     )
 
 
-def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
+def fit_budget(
+    lengths: Sequence[int], counts: Sequence[int], budget: int, phase: float = 0.0
+) -> list[int]:
     """How many documents of each length to take so that their words come to `budget`.
 
-    Never above it; what the counts left over by the even share can close is closed exactly.
+    Never above it; what the counts left over by the even share can close is closed exactly. `phase`, 0 to 1, shifts
+    at which lengths the carried words come to a document.
     """
     order = sorted((n, c, i) for i, (n, c) in enumerate(zip(lengths, counts)) if n > 0 and c > 0)
     total = sum(n * c for n, c, _ in order)
@@ -100,48 +103,58 @@ def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int) -> li
         for _, c, i in order:
             taken[i] = c
         return taken
-    left = budget
-    even = budget - min(budget // 4, DP_BUDGET // 4)  # the rest gives the program room
-    for n, c, i in order:
-        taken[i] = c * even // total
-        left -= taken[i] * n
-    # Longest first while the rest is too large to tabulate, leaving room to close exactly.
-    for n, c, i in reversed(order):
-        if left <= DP_BUDGET // 2:
-            break
-        more = min(c - taken[i], (left - DP_BUDGET // 2) // n)
-        taken[i] += more
-        left -= more * n
-    left -= _close(order, taken, min(left, DP_BUDGET))
-    # Only a rest beyond the table is left to fill; nothing closes it better than the longest.
-    for n, c, i in reversed(order):
-        more = min(c - taken[i], left // n)
-        taken[i] += more
-        left -= more * n
+    if not order:
+        return taken
+    start = int(phase * order[-1][0])
+    if 2 * budget <= total:
+        rest = budget - _even(order, taken, budget, start)
+        _close(order, taken, rest, rest)
+        return taken
+    # Above one half the same is done for what is not taken, which then comes to no less than its share.
+    spared, spare = [0] * len(lengths), total - budget
+    rest = spare - _even(order, spared, spare, start)
+    _close(order, spared, rest, rest + order[-1][0])
+    for _, c, i in order:
+        taken[i] = c - spared[i]
     return taken
 
 
-def _close(order: list[tuple[int, int, int]], taken: list[int], budget: int) -> int:
+def _even(order: list[tuple[int, int, int]], taken: list[int], budget: int, start: int) -> int:
+    """The same share of every length, in `taken`; returns its words, below the budget by two documents at most."""
+    total = sum(n * c for n, c, _ in order)
+    # Words due up to a length less those taken never come to the longest document.
+    passed, used = 0, 0
+    for n, c, i in order:
+        passed += n * c
+        due = passed * budget // total - start
+        taken[i] = min(c, max(0, due - used) // n)
+        used += taken[i] * n
+    return used
+
+
+def _close(order: list[tuple[int, int, int]], taken: list[int], goal: int, limit: int) -> int:
     """Bounded knapsack over the counts not yet taken; sums are bits of one integer.
 
-    For each sum only the piece that first reached it is kept: what is left without the piece was
+    Adds documents of `goal` words to `taken`; if that cannot be, of the least sum up to `limit` above it, or else of
+    the largest below. For each sum only the piece that first reached it is kept: what is left without the piece was
     reached before it, so going back uses every piece once at most and no count is exceeded.
     """
-    mask = (1 << (budget + 1)) - 1
+    mask = (1 << (limit + 1)) - 1
     reached, steps = 1, []
     for n, c, i in order:
         left, piece = c - taken[i], 1
-        if n > budget or (reached >> budget) & 1:
+        if n > limit or (reached >> goal) & 1:
             break
         while left > 0:  # 1, 2, 4, ... documents at a time make up every number up to the count
             piece = min(piece, left)
-            new = (reached << (n * piece)) & mask & ~reached if n * piece <= budget else 0
+            new = (reached << (n * piece)) & mask & ~reached if n * piece <= limit else 0
             if new:
                 reached |= new
                 steps.append((new, n, i, piece))
             left -= piece
             piece *= 2
-    best = reached.bit_length() - 1
+    above = reached >> goal
+    best = goal + (above & -above).bit_length() - 1 if above else reached.bit_length() - 1
     at = best
     for new, n, i, piece in reversed(steps):
         if (new >> at) & 1:
@@ -155,7 +168,12 @@ def _plan(histogram: pd.DataFrame) -> pd.DataFrame:
     size, target = int(histogram["source_size"].iloc[0]), histogram["target"].iloc[0]
     budget = min(round(target), MOST_COPIES * size)
     copies = budget // size if size else 0
-    extra = fit_budget(histogram["size"].tolist(), histogram["n"].tolist(), budget - copies * size)
+    extra = fit_budget(
+        histogram["size"].tolist(),
+        histogram["n"].tolist(),
+        budget - copies * size,
+        float(histogram["phase"].iloc[0]),
+    )
     return histogram.assign(copies=copies, extra=extra)[
         ["_source", "size", "source_size", "target", "copies", "extra"]
     ]
@@ -178,8 +196,10 @@ def decide(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED)
     wanted = targets(sized, weights)
     buckets = sized.groupBy("_source", "size", "_bucket").agg(F.count(F.lit(1)).alias("_here"))
     histogram = buckets.groupBy("_source", "size").agg(F.sum("_here").alias("n"))
+    phase = F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(1 << 20)) / (1 << 20)
     planned = (
         histogram.join(wanted, "_source")
+        .withColumn("phase", phase)
         .groupBy("_source")
         .applyInPandas(
             _plan,

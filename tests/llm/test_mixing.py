@@ -37,6 +37,25 @@ def test_fit_is_exact_on_large_counts():
         assert sum(t * n for t, n in zip(taken, lengths)) == budget
 
 
+@pytest.mark.parametrize("n, longest", [(300, 400), (4000, 20_000), (30_000, 20_000)])
+def test_every_length_gives_the_same_share(n, longest):
+    """At every size of a source, and for lengths that occur once as for others."""
+    rng = random.Random(n)
+    found = Counter(rng.randint(1, longest) for _ in range(n))
+    lengths, counts = zip(*found.items())
+    total = sum(a * c for a, c in found.items())
+    for share, phase in ((0.13, 0.0), (0.5, 0.4), (0.9, 0.99)):
+        taken = mixing.fit_budget(lengths, counts, int(total * share), phase)
+        assert sum(t * a for t, a in zip(taken, lengths)) == int(total * share)
+        ranked = sorted(zip(lengths, counts, taken))
+        for fifth in range(5):
+            part = ranked[len(ranked) * fifth // 5 : len(ranked) * (fifth + 1) // 5]
+            words = sum(a * c for a, c, _ in part)
+            # The program closes the rest with short documents: at most two of the longest.
+            slack = 2 * longest / words + 0.02
+            assert abs(sum(a * t for a, _, t in part) / words - share) < slack
+
+
 def plain_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
