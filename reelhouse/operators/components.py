@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.session import cut_lineage
+from reelhouse.session import cut_lineage, joinable
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,8 +14,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Each step hangs the neighbours of a node on the least of them (Kiveris et al.,
     "Connected Components in MapReduce and Beyond", 2014): the number of rounds is
     logarithmic in practice and the edge table never grows. The least neighbour is
-    an aggregate that combines on the map side, so a hub costs no more than other
-    nodes.
+    an aggregate that combines on the map side; it is staged before it is joined, since only then can
+    adaptive execution split the rows of a hub.
     """
     current = cut_lineage(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
     before = _fingerprint(current)
     while True:
-        current = cut_lineage(_small_star(_large_star(current)))
+        current = cut_lineage(_small_star(cut_lineage(_large_star(current))))
         after = _fingerprint(current)
         if after == before:
             break
@@ -37,7 +37,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = joinable(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return (
         both.join(least, "u")
         .where("v > u")
@@ -47,7 +47,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = joinable(edges.groupBy("u").agg(F.min("v").alias("m")))
     rehung = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rehung.union(least.select("u", F.col("m").alias("v"))).distinct()
 
