@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import sha256_hex, whole
-from reelhouse.session import run_dir, staged
+from reelhouse.session import joinable, run_dir, staged
 
 MIN_BYTES = 100
 VERSION = "WARC/1.1"
@@ -51,7 +51,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     )
     return (
         heads.drop("url")
-        .join(elected, "digest")
+        .join(joinable(elected), "digest")
         .where("page_id is null or page_id > original_id")
         .distinct()
     )
@@ -187,7 +187,7 @@ def resolved(spark: SparkSession, path: str) -> DataFrame:
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     again = heads.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
     return responses.select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(
-        again.join(originals, "refers_to").select(
+        again.join(joinable(originals), "refers_to").select(
             *columns, F.col("original_id").alias("refers_to")
         )
     )
