@@ -7,9 +7,9 @@ word by word. Hashes of runs are put together by doubling (1, 2, 4, 8 words, the
 overlapping runs of 8), so a run costs the same whatever its length. Built-in functions only.
 
 The set is broadcast if it has at most `BROADCAST_WINDOWS` windows and `BROADCAST_BYTES` bytes, both
-counted first; beyond that the same join is left to shuffle, where adaptive execution splits a
-frequent window. Each document sends its hits and one row of its own to one aggregate, so documents
-are scanned once and the texts are never shuffled for the report.
+counted first. Beyond that the runs are shuffled, as hashes with their places, where adaptive execution splits a
+frequent window, and the words are joined to those whose hash is found. Each document sends its hits and one row of its own
+to one aggregate. With a broadcast set documents are scanned once and texts are never shuffled for the report.
 
 Defined cases: null and empty texts have no words and no hits; an item without words has no window. Items
 without an id are looked for, but not listed. Repeated document rows come back as often as they came in;
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import lower_ascii, sha256_hex, whole
+from reelhouse.session import staged
 
 WINDOW = 13
 BROADCAST_WINDOWS = 500_000
@@ -93,9 +94,9 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     (start, stop), merged and in order; `_text` a hash of the text.
     """
     wanted, lengths = windows(items, size)
+    wanted = staged(wanted, "windows")
     n, n_bytes = wanted.agg(F.count(F.lit(1)), F.sum(F.octet_length("run") + 32)).first()
-    if n <= BROADCAST_WINDOWS and (n_bytes or 0) <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
+    small = n <= BROADCAST_WINDOWS and (n_bytes or 0) <= BROADCAST_BYTES
     read = with_words(docs.select("doc_id", "text"))
     read = read.select("doc_id", F.xxhash64(whole("text")).alias("_text"), "_words")
     hashed, names = with_run_hashes(read, lengths)
@@ -108,26 +109,37 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     scanned = hashed.select(
         "doc_id",
         "_text",
-        "_words",
+        # Only a join without a shuffle may carry the words along with every run.
+        *(["_words"] if small else []),
         F.size("_words").cast("long").alias("n_words"),
         runs.alias("_runs"),
     )
-    each = scanned.select("doc_id", "_text", "_words", "n_words", F.posexplode_outer("_runs").alias("_at", "_h"))
+    each = scanned.select(*[c for c in scanned.columns if c != "_runs"], F.posexplode_outer("_runs").alias("_at", "_h"))
     # Where the runs of a length begin in the joined array.
     start, before = F.lit(None).cast("long"), F.lit(1).cast("long")
     for k in lengths:
         start = F.when(F.col("length") == k, F.col("_at") - before).otherwise(start)
         before = before + F.greatest(F.lit(0), F.col("n_words") - (k - 1))
-    found = each.join(wanted, F.col("_h") == F.col("h"), "left").withColumn(
-        "_start", start.cast("int")
-    )
     inside = (F.col("_start") >= 0) & (F.col("_start") + F.col("length") <= F.col("n_words"))
     seen = F.when(
         F.col("h").isNotNull() & inside,
         F.concat_ws(" ", F.slice("_words", F.col("_start") + 1, F.col("length"))),
     )
+    same_hash = F.col("_h") == F.col("h")
+    if small:
+        found = each.join(F.broadcast(wanted), same_hash, "left").withColumn("_start", start.cast("int"))
+        found = found.where((F.col("_at") == 0) | F.col("h").isNotNull())
+    else:
+        # Runs are shuffled as hashes; words are joined again to the runs whose hash is wanted.
+        hashes = each.where(F.col("_h").isNotNull()).join(wanted, same_hash)
+        hashes = staged(hashes.withColumn("_start", start.cast("int")), "window-hits")
+        texts = read.groupBy("doc_id", "_text").agg(F.first("_words").alias("_words"))
+        texts = texts.withColumnsRenamed({"doc_id": "_id", "_text": "_hash"})
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+        alone = each.where("_at = 0").select("doc_id", "_text", "n_words", "_at")
+        found = hashes.join(texts, same).unionByName(alone, allowMissingColumns=True)
     hit = seen == F.col("run")
-    kept = found.where((F.col("_at") == 0) | F.col("h").isNotNull()).select(
+    kept = found.select(
         "doc_id",
         "_text",
         F.when(F.col("_at") == 0, F.col("n_words")).alias("n_words"),

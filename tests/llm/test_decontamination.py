@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import pytest
+
 from reelhouse.llm import decontamination, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -67,6 +69,17 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     assert got(decontamination.digests(docs, items)) == plain(DOCS, ITEMS)
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_a_very_long_text(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", limit)
+    words = [f"w{i % 9000}" for i in range(20_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[500:520]))]
+    items = [(7, " ".join(words[8990:9020])), (8, " ".join(reversed(words[:20])))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(items, "item_id long, text string")
+    assert got(decontamination.digests(docs, known)) == plain(rows, items)
+
+
 def test_removing_documents_and_spans(spark):
     docs, items = tables(spark)
     bad = {r[0] for r in plain(DOCS, ITEMS) if r[5]}
