@@ -5,9 +5,9 @@ labelled bad. A document is compressed with either; the difference of the two si
 their sum says which of the two it resembles, and a logistic curve fitted on labelled
 documents that neither dictionary has seen turns that into a probability.
 
-Bounds: the model is fitted on at most `per_class` labelled rows of each label with at
-most `max_chars` characters each, the first by a hash of their id and text, so that reruns
-agree. Scoring has no bound: every document is compressed as a whole, in blocks of
+Bounds: the model is fitted on at most `per_class` labelled ids of each label with at
+most `max_chars` characters each and `max_bytes` bytes together, the first by a hash of their id, so that reruns
+agree; of rows that share an id one teaches. Scoring has no bound: every document is compressed as a whole, in blocks of
 `BLOCK` bytes, so that the dictionary counts as much at the end of a long text as at its
 start and memory does not grow with the text.
 
@@ -25,12 +25,15 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.llm.common import whole
 
 PER_CLASS = 3000
 MAX_CHARS = 40_000
+MAX_BYTES = 48 << 20
 DICTIONARY_BYTES = 112_640
 BLOCK = 512
 LEVEL = 3
@@ -74,22 +77,31 @@ def fit(
     label: str = "quality",
     per_class: int = PER_CLASS,
     max_chars: int = MAX_CHARS,
+    max_bytes: int = MAX_BYTES,
 ) -> QualityModel:
     """Train on a bounded sample of the labelled rows that are not held out."""
     spark = docs.sparkSession
-    order = F.xxhash64("doc_id")
-    # Ids first, so that no task carries texts that are not picked.
-    short = docs.where(F.char_length("text") <= max_chars)
-    known = labelled(short, labels, label).select("doc_id", "label").distinct()
-    ids: list[tuple] = []
-    for value in (0, 1):
-        ids += known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class).collect()
+    # Ids first, so that no task carries texts that are not picked; of rows that share an id one teaches.
+    short = docs.where(F.char_length("text") <= max_chars).select("doc_id", "text", F.xxhash64("text").alias("_t"))
+    one = (
+        labelled(short, labels, label)
+        .groupBy("label", "doc_id")
+        .agg(F.min(F.struct("_t", F.octet_length("text").alias("bytes"))).alias("row"))
+        .select("label", "doc_id", "row.*", F.xxhash64("doc_id").alias("h"))
+    )
+    first = W.partitionBy("label").orderBy("h", "doc_id")
+    ranked = one.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_class)
+    # At most `per_class` rows a label from here on.
+    so_far = F.sum("bytes").over(W.partitionBy("label").orderBy("nth"))
+    ids = ranked.withColumn("so_far", so_far).where(F.col("so_far") <= max_bytes)
+    ids = ids.select("doc_id", "_t", "label", "h").collect()
     if not ids:
         return QualityModel(b"", b"", 0.0, 0.0, 0.5)
-    picked = spark.createDataFrame(ids, known.schema)
+    picked = spark.createDataFrame(ids, ids_schema(docs))
     rows = (
-        short.join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
-        .select(order.alias("h"), "text", "label")
+        short.join(F.broadcast(picked), ["doc_id", "_t"])
+        .select("h", "text", "label")
+        .distinct()
         .collect()
     )
     rows.sort()
@@ -97,6 +109,12 @@ def fit(
     return train(texts[1], texts[0])
 
 
+def ids_schema(docs: DataFrame) -> T.StructType:
+    """Rows that are picked: id, hash of the text, label, order."""
+    kinds = {"doc_id": docs.schema["doc_id"].dataType, "_t": T.LongType(), "label": T.IntegerType(), "h": T.LongType()}
+    return T.StructType([T.StructField(n, t) for n, t in kinds.items()])
+
+
 def train(good: list[bytes], bad: list[bytes]) -> QualityModel:
     """Two thirds of each label make its dictionary, the rest fits the curve."""
     if len(good) < 3 or len(bad) < 3:

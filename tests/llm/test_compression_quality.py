@@ -1,5 +1,7 @@
 """Held-out accuracy, who teaches, and defined cases."""
 
+import zlib
+
 from reelhouse.llm import compression_quality, queries
 
 SF = "/root/testdata/sf0.01"
@@ -44,3 +46,18 @@ def test_empty_tables(spark):
     model = compression_quality.fit(docs, labels)
     assert docs.select(model.score("text")).first()[0] == 0.5
     assert docs.limit(0).select(model.score("text")).count() == 0
+
+
+def test_one_row_of_an_id_teaches_and_bytes_are_bounded(spark, monkeypatch):
+    taught = []
+    monkeypatch.setattr(compression_quality, "train", lambda good, bad: taught.append((good, bad)))
+    rows = [(6, f"text {i}", "clash", i) for i in range(3000)] + [(i, "y" * 100, "clash", 0) for i in (9, 12, 15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, h int")
+    labels = spark.createDataFrame([(6, 1), (9, 0), (12, 0), (15, 0), (6, 1)], "doc_id long, quality int")
+    kept = [i for i in (9, 12, 15) if zlib.crc32(str(i).encode()) % 3 != 1]
+    compression_quality.fit(docs, labels)
+    assert len(taught[0][0]) == (zlib.crc32(b"6") % 3 != 1) and len(taught[0][1]) == len(kept)
+    compression_quality.fit(docs, labels, max_bytes=150)
+    assert len(taught[1][1]) == min(1, len(kept))
+    compression_quality.fit(docs, labels, per_class=2)
+    assert len(taught[2][1]) == min(2, len(kept))
