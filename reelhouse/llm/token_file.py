@@ -11,8 +11,9 @@ The tokenizer's words are cached by their text: what stands between two blanks i
 tokenised alone by byte-level pre-tokenizers, so only words a worker has not met are encoded, letters alone
 by the tokenizer's model without its pre-tokenizer. Texts
 with runs of blanks are cut only where a blank follows a non-blank; texts that hold a special token, and
-tokenizers of another kind, are encoded as a whole. The cache holds
-`CACHE_WORDS` words and begins anew when it is full.
+tokenizers of another kind, are encoded as a whole. When the cache holds `CACHE_WORDS` words it becomes the older
+one and a new one begins; words that are met again are taken over, so a worker keeps twice that number at most
+and what it learns again are words it has not met for long.
 
 Defined cases: null and empty texts are the end id alone. Null ids come first; rows that share an id are
 ordered by their text, and repeated rows are written as often as they come. An empty corpus has no blocks. Extra columns
@@ -40,10 +41,11 @@ from reelhouse.session import run_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 750_000
 
 _ENCODERS: dict[str, Encoder] = {}
-_SPACED = re.compile(r"\s ")
+# A blank after white space: what no word of letters and no cut at a blank may hide.
+_SPACED = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")
 # The apostrophe may begin a token together with letters.
 _PUNCTUATION = string.punctuation.replace("'", "")
@@ -57,6 +59,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         pre = self.tokenizer.pre_tokenizer
         self.by_words = (
             isinstance(pre, pre_tokenizers.ByteLevel)
@@ -73,6 +76,7 @@ class Encoder:
         self.heads: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         alphabet = pre_tokenizers.ByteLevel.alphabet()
         plain = [b for b in range(256) if chr(b) in alphabet]
         others = [b for b in range(256) if chr(b) not in alphabet]
@@ -82,8 +86,7 @@ class Encoder:
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian, with the end id."""
         if len(self.heads) + len(self.cache) + len(self.tails) > CACHE_WORDS:
-            for kept in (self.heads, self.cache, self.tails):
-                kept.clear()
+            self.older, self.cache, self.heads, self.tails = self.cache, {}, {}, {}
         # Each word is looked up once; texts with words not met before wait until these are learnt.
         get, end, made, waiting = self.cache.get, self.end, [], []
         heads, unknown = set(), set()
@@ -100,7 +103,9 @@ class Encoder:
             else:
                 made.append(b"".join(found) + end)
         self._learn(self.heads, heads, "")
-        self._learn(self.cache, unknown, " ")
+        again = unknown & self.older.keys()
+        self.cache.update((w, self.older[w]) for w in again)
+        self._learn(self.cache, unknown - again, " ")
         for at, words in waiting:
             made[at] = self.heads[words[0]] + b"".join(map(get, words[1:])) + end
         return made
@@ -109,7 +114,7 @@ class Encoder:
         """The first word, and those after a blank without it; or the whole text alone."""
         if not self.by_words or any(s in text for s in self.special):
             return [text]
-        if _SPACED.search(text):
+        if any(pair in text for pair in _SPACED):
             first, *rest = _BOUNDARY.split(text)
             return [first, *(w[1:] for w in rest)]
         return text.split(" ")
@@ -139,8 +144,11 @@ class Encoder:
 
     def _model_ids(self, run: str) -> bytes:
         """Ids of a run that the pre-tokenizer would not cut."""
-        as_letters = run.encode().decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(as_letters)])
+        if run.isascii():
+            as_letters = run.replace(" ", self.letters[32])
+        else:
+            as_letters = run.encode().decode("latin-1").translate(self.letters)
+        return self._packed([t.id for t in self.model.tokenize(as_letters)])
 
     def _packed(self, ids: list[int]) -> bytes:
         """Short lists pack faster this way than through numpy."""
