@@ -92,7 +92,82 @@ def fuzzy_title(spark, sf):
     return pairs.select("key_a", "key_b", "n_a", "n_b", "similarity")
 
 
-also("join_runtime_band", "join_fuzzy_title")
+# Two bands and an exact block at once: a count that is always known and may differ by one, as years do; a length that
+# may differ by two or be unknown, as running times are; and the same first letter.
+TWO_BANDS = (linkage.Band("year", 1), linkage.Band("runtime", 2, (None, 0)))
+LETTER = ("letter",)
+
+
+def _banded_side(spark, sf, name, id_col):
+    rows = standins.sentences(spark, sf, name, id_col).distinct()
+    tens = F.floor(F.char_length("sentence") / 10).cast("int")
+    return rows.select(
+        F.concat_ws(":", F.col(id_col).cast("string"), "sentence").alias("key"),
+        token_set(normalize_title(F.col("sentence"))).alias("tokens"),
+        F.size(F.split("sentence", " ")).alias("year"),
+        F.when(tens % 7 != 3, tens).alias("runtime"),
+        F.lower(F.left("sentence", F.lit(1))).alias("letter"),
+    )
+
+
+def _banded(spark, sf):
+    left, right = _banded_side(spark, sf, "benchmark", "item_id"), _banded_side(spark, sf, "documents", "doc_id")
+    groups = [linkage.copy_groups(s, "key", "tokens", LETTER, TWO_BANDS) for s in (left, right)]
+    similar = linkage.similar_groups(*groups, block=LETTER, bands=TWO_BANDS, threshold=0.5)
+    return left, linkage.fuzzy_pairs(*groups, similar)
+
+
+def _banded_rows(rows: str) -> str:
+    return f"""SELECT id || ':' || sentence AS key, len(string_split(sentence, ' ')) AS year,
+               CASE WHEN length(sentence) // 10 % 7 <> 3 THEN length(sentence) // 10 END AS runtime,
+               lower(left(sentence, 1)) AS letter,
+               list_sort(list_distinct({normalized("sentence")})) AS tokens
+        FROM (SELECT DISTINCT id, sentence FROM {rows})"""
+
+
+def _banded_groups(rows: str) -> str:
+    return f"""SELECT tokens, year, runtime, letter, count(*) AS n, min(key) AS least_key
+        FROM ({_banded_rows(rows)}) GROUP BY 1, 2, 3, 4"""
+
+
+_BANDED = f"""
+    WITH l AS ({_banded_groups("wanted")}), r AS ({_banded_groups("offered")}),
+    s AS (SELECT l.*, r.tokens AS other, r.n AS n_b, r.least_key AS key_b,
+                 len(list_intersect(l.tokens, r.tokens)) AS c
+          FROM l JOIN r ON l.letter = r.letter AND abs(l.year - r.year) <= 1
+           AND (l.runtime IS NULL OR r.runtime IS NULL OR l.runtime = 0 OR r.runtime = 0
+                OR abs(l.runtime - r.runtime) <= 2)),
+    p AS (SELECT *, CASE WHEN len(tokens) + len(other) = 0 THEN 1.0::DOUBLE
+                    ELSE c::DOUBLE / (len(tokens) + len(other) - c) END AS similarity FROM s)"""
+
+
+@query(
+    "join_runtime_band",
+    _BANDED
+    + """SELECT least_key AS key_a, key_b, n AS n_a, n_b, similarity FROM p WHERE similarity >= 0.5""",
+)
+def runtime_band(spark, sf):
+    return _banded(spark, sf)[1].select("key_a", "key_b", "n_a", "n_b", "similarity")
+
+
+@query(
+    "join_best_in_bands",
+    _BANDED
+    + f""",
+    best AS (SELECT tokens, year, runtime, letter, max(similarity) AS similarity FROM p
+             WHERE similarity >= 0.5 GROUP BY 1, 2, 3, 4),
+    pick AS (SELECT p.tokens, p.year, p.runtime, p.letter, p.similarity, min(key_b) AS candidate
+             FROM p JOIN best b ON p.tokens = b.tokens AND p.year = b.year AND p.letter = b.letter
+              AND p.runtime IS NOT DISTINCT FROM b.runtime AND p.similarity = b.similarity
+             GROUP BY 1, 2, 3, 4, 5)
+    SELECT key AS target, candidate, similarity
+    FROM ({_banded_rows("wanted")}) t JOIN pick k
+      ON t.tokens = k.tokens AND t.year = k.year AND t.letter = k.letter
+     AND t.runtime IS NOT DISTINCT FROM k.runtime""",
+)
+def best_in_bands(spark, sf):
+    left, pairs = _banded(spark, sf)
+    return linkage.best_per_target(pairs, left, "key", linkage.copy_group("tokens", LETTER, TWO_BANDS))
 
 
 @query(
