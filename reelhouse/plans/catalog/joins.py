@@ -11,10 +11,11 @@ from reelhouse.functions.text import (
     token_set,
     tokenize_title_older,
 )
-from reelhouse.operators import clustering, filters, linkage, roles, setjoin
+from reelhouse.operators import clustering, filters, linkage, reviews, roles, setjoin
 from reelhouse.operators.components import connected_components
 from reelhouse.plans import standins
 from reelhouse.plans.catalog.registry import also, normalized, query
+from reelhouse.schemas import WAREHOUSE
 
 table = standins.table
 
@@ -398,15 +399,44 @@ def group_label(spark, sf):
 also("fn_common_prefix", "agg_group_label")
 
 
+_TITLED = """
+    titled AS MATERIALIZED (
+      SELECT *, primary_title AS sentence,
+             CASE category WHEN 'GAMES' THEN 'Video Game' WHEN 'TV_SHOWS' THEN 'TV Series' ELSE 'Movie' END AS role
+      FROM docs)"""
+
+
 @query(
     "dim_media_info",
+    f"""WITH RECURSIVE {_TITLED}, {_names(17, 50).replace("FROM spoken", "FROM titled")}, {_LABELS}
+    SELECT media_id AS id, t.role AS media_type, l.label AS franchise, t.sentence AS primary_title,
+           'Nov 12, ' || (p_size + 1970) AS release_date,
+           CASE WHEN category = 'MOVIES' THEN (p_size // 10 * 60 + p_size % 10)::DOUBLE END AS duration,
+           'R' || p_size % 5 AS pegi_mpa_rating, p_brand AS description
+    FROM titled t JOIN (SELECT DISTINCT role, sentence, tokens FROM names) n USING (role, sentence)
+    LEFT JOIN sets ON sets.role = n.role AND sets.tokens = n.tokens
+    LEFT JOIN comp USING (id) LEFT JOIN clusters USING (component)
+    LEFT JOIN labels l ON l.component = clusters.component""",
+)
+def dim_media_info(spark, sf):
+    """The whole dimension from documents, franchises by the names media of one type share."""
+    media = reviews.media_info(standins.documents(spark, sf)).drop("release_year")
+    named = clustering.cluster_attribute(media, "primary_title", "franchise", "media_type", threshold=0.34)
+    return named.select(*WAREHOUSE["DIM_MEDIA_INFO"].columns)
+
+
+also("win_group_broadcast", "dim_media_info")
+
+
+@query(
+    "dim_media_info_sentences",
     f"""WITH RECURSIVE {_names(17, 50)}, {_LABELS}
     SELECT n.role AS media_type, n.sentence AS primary_title, l.label AS franchise
     FROM names n LEFT JOIN sets ON sets.role = n.role AND sets.tokens = n.tokens
     LEFT JOIN comp USING (id) LEFT JOIN clusters USING (component)
     LEFT JOIN labels l ON l.component = clusters.component""",
 )
-def dim_media_info(spark, sf):
+def media_info_sentences(spark, sf):
     spoken = standins.sentences(spark, sf, "conversations", "role").select(
         F.col("role").alias("media_type"), F.col("sentence").alias("primary_title")
     )
@@ -415,9 +445,6 @@ def dim_media_info(spark, sf):
     )
 
 
-also("win_group_broadcast", "dim_media_info")
-
-
 @query(
     "flt_blacklist_types",
     f"""WITH RECURSIVE {_names(17, 50)}, {_LABELS}
