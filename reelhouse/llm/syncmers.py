@@ -6,10 +6,12 @@ closed syncmer if the least of the hashes of its inner runs of `S` tokens is the
 last of them. Whether a k-mer is one depends on nothing but the k-mer, so two texts that share a passage choose
 the same anchors in it, wherever it stands.
 
-`anchors` gives every syncmer with its position, for matching passages by position. `fingerprint` keeps the
-`SKETCH` least distinct syncmer hashes, and `likeness` compares two of those: the share of the least hashes of
-both together that both have, an estimate of the Jaccard similarity of the texts' syncmers and exact while
-these number no more than the sketch. Built-in functions only.
+`with_anchors` gives every syncmer with its position, for matching passages by position. A fingerprint keeps, of the
+distinct syncmer hashes, all in the lowest `1 / RATE` of their range, and the `SKETCH` least where those are fewer. So it
+grows with the text: two texts of any length that share a passage of some 60 words nearly always share an entry. `likeness`
+compares two fingerprints: of the least hashes of both together, as far down as both reach, the share that both
+have. That is an estimate of the Jaccard similarity of the texts' syncmers, and exact while these number less than
+`SKETCH`. Built-in functions only.
 
 Defined cases: null and empty texts, and texts without a token, have the fingerprint ''. Two of
 those are alike (1), one of those and another are not (0). A text of fewer than `K` tokens has one anchor,
@@ -28,6 +30,7 @@ from reelhouse.llm.common import whole
 K = 5
 S = 2
 SKETCH = 64
+RATE = 8
 DIGITS = 12
 TOKEN_CHARS = 16
 # Ranges of ids the texts are dealt to, for each shuffle partition.
@@ -77,7 +80,11 @@ def with_fingerprint(df: DataFrame, text: str, name: str, sketch: int = SKETCH)
         F.col(f"_{name}_anchors"),
         lambda a: F.shiftrightunsigned(a["hash"], 64 - 4 * DIGITS),
     )
-    least = F.slice(F.sort_array(F.array_distinct(prefix)), 1, sketch)
+    ordered = F.sort_array(F.array_distinct(prefix))
+    low = F.size(F.filter(prefix, lambda v: v < (1 << 4 * DIGITS) // RATE))
+    # Counted with repeats; where that is too many, the entries themselves tell.
+    least = F.slice(ordered, 1, F.greatest(F.lit(sketch), low))
+    least = F.filter(least, lambda v, i: (i < sketch) | (v < (1 << 4 * DIGITS) // RATE))
     text_of = F.array_join(
         F.transform(least, lambda v: F.lower(F.lpad(F.hex(v), DIGITS, "0"))), ""
     )
@@ -91,7 +98,12 @@ def likeness(a: str | Column, b: str | Column, sketch: int = SKETCH) -> Column:
     def parts(c: Column) -> Column:
         return F.regexp_extract_all(c, F.lit(rf".{{{DIGITS}}}"), F.lit(0))
 
-    both = F.slice(F.sort_array(F.array_union(parts(a), parts(b))), 1, sketch)
+    def reach(c: Column) -> Column:
+        """How many of its least hashes a fingerprint holds: all there are if it is short."""
+        n = F.length(c) / DIGITS
+        return F.when(n < sketch, F.lit((1 << 31) - 1)).otherwise(n).cast("int")
+
+    both = F.slice(F.sort_array(F.array_union(parts(a), parts(b))), 1, F.least(reach(a), reach(b)))
     shared = F.size(F.array_intersect(F.array_intersect(parts(a), parts(b)), both))
     return F.when(a == b, F.lit(1.0)).otherwise(
         F.coalesce(shared / F.nullif(F.size(both), F.lit(0)), F.lit(0.0))

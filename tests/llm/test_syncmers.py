@@ -1,6 +1,7 @@
 """Fingerprints against the contract and against a plain reading of the definition."""
 
 import hashlib
+import random
 import re
 
 import xxhash
@@ -79,3 +80,34 @@ def test_edge_cases(spark):
     assert [r[0] for r in pairs.select(like("a", "b")).collect()] == [1.0, 0.0, 1.0]
     assert syncmers.edited_pairs(df.limit(0)).count() == 0
     assert syncmers.edited_pairs(df.limit(1)).count() == 1
+
+
+def test_long_texts_that_share_a_passage_share_entries(spark):
+    rng = random.Random(9)
+    texts = [[f"w{rng.getrandbits(40)}" for _ in range(20_000)] for _ in range(6)]
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(t[: 3000 * i] + passage + t[3000 * i :])) for i, t in enumerate(texts)]
+    rows += [(10, " ".join(texts[0])), (11, " ".join(texts[0][:10_000] + ["other"] + texts[0][10_001:]))]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    prints = {r["doc_id"]: r["fp"] for r in syncmers.with_fingerprint(df, "text", "fp").collect()}
+    for i, text in rows[:2]:
+        found = sorted({h >> (64 - 4 * syncmers.DIGITS) for _, h in plain_anchors(text)})
+        low = [v for v in found if v < (1 << 4 * syncmers.DIGITS) // syncmers.RATE]
+        assert prints[i] == "".join(f"{v:0{syncmers.DIGITS}x}" for v in low) and len(low) > 1000
+    pairs = [(prints[i], prints[j]) for i in range(6) for j in range(i)]
+    near = spark.createDataFrame([*pairs, (prints[10], prints[11])], "a string, b string")
+    scores = [r[0] for r in near.select(syncmers.likeness("a", "b")).collect()]
+    assert all(0 < s < 0.05 for s in scores[:-1])
+    # One word of 20,000 changed: nearly alike, and the change shows or not, but never as a difference.
+    assert 0.99 < scores[-1] <= 1
+
+
+def test_likeness_reaches_as_far_as_the_shorter_print(spark):
+    width = syncmers.DIGITS
+    many = [f"{v:0{width}x}" for v in range(0, 400, 2)]
+    few = [f"{v:0{width}x}" for v in range(0, 20)]
+    pairs = [("".join(many), "".join(many[:100])), ("".join(many), "".join(few)), ("".join(few), "".join(few[:10]))]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(syncmers.likeness("a", "b")).collect()]
+    # The second pair: all of the short one against as much of the long one as it holds.
+    assert got == [1.0, 10 / 200, 10 / 20]
