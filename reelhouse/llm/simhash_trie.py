@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from reelhouse.llm.common import whole
 from reelhouse.operators.components import connected_components
-from reelhouse.session import staged
+from reelhouse.session import joinable, staged
 
 SEED = 42
 SHINGLE = 3
@@ -254,7 +254,7 @@ def components_of(
     # Fingerprints without a link keep their own least id.
     final = (
         least.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
-        .join(named, "component", "left")
+        .join(joinable(named), "component", "left")
         .select(
             "fp",
             F.coalesce("component", "fp").alias("component"),
@@ -270,7 +270,12 @@ def components_of(
 
 def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """One document of each component: the one with the least id, of repeated ids the least fingerprint."""
-    marked = staged(docs.withColumn("_fp", fingerprint_column("text")), "simhash-docs")
+    # The row travels as one value, so that no name of its columns can clash.
+    row = F.struct(*docs.columns).alias("row")
+    hashed = docs.select(
+        "doc_id", fingerprint_column("text").alias("_fp"), F.xxhash64("text").alias("hash"), row
+    )
+    marked = staged(hashed, "simhash-docs")
     grouped = components_of(marked.select("doc_id", F.col("_fp").alias("fp")), budget)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("first")
     kept = grouped.groupBy("component").agg(first).select(
@@ -279,5 +284,5 @@ def keep_one(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     found = marked.join(
         kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_kept"))
     )
-    same = W.partitionBy("doc_id", "_fp").orderBy(F.xxhash64("text"))
-    return found.withColumn("_row", F.row_number().over(same)).where("_row = 1").select(*docs.columns)
+    same = W.partitionBy("doc_id", "_fp").orderBy("hash")
+    return found.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("row.*")
