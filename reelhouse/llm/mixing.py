@@ -15,7 +15,7 @@ the longest document has words; its bit set has a bit for each word of what is l
 
 Defined cases: a null or blank text has size 0 and is never taken. A null source is a source of its own, last
 in order. Repeated rows count and are elected each for itself. A corpus without words takes nothing.
-Extra columns are kept by `mix` and must not begin with an underscore.
+Extra columns are kept by `mix`, whatever their names.
 """
 
 from __future__ import annotations
@@ -236,7 +236,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
 
     Rows that share an id and a size share the copies decided for them as evenly as it goes.
     """
-    named = docs.withColumn("_size", size_of("text"))
+    # The row travels as one value, so that no name of its columns can clash.
+    named = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col("doc_id").alias("_doc"),
+        size_of("text").alias("_size"),
+        F.xxhash64("text").alias("_hash"),
+    )
     chosen = (
         decide(docs, weights, seed)
         .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words"))
@@ -244,13 +250,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
         .where("_copies > 0")
     )
     joined = named.join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
+        chosen, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words"))
     )
     each = F.floor(F.col("_copies") / F.col("_rows"))
     over = F.col("_copies") % F.col("_rows")
     # Only where repeated rows cannot share evenly does it matter which row is which.
     even = joined.where("_copies % _rows = 0").withColumn("_times", each)
-    number = F.row_number().over(W.partitionBy("_id", "_words").orderBy(F.xxhash64("text")))
+    number = F.row_number().over(W.partitionBy("_id", "_words").orderBy("_hash"))
     uneven = joined.where("_copies % _rows > 0").withColumn(
         "_times", each + (number <= over).cast("long")
     )
@@ -258,5 +264,5 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = SEED) ->
         even.unionByName(uneven)
         .where("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
-        .select(*docs.columns)
+        .select("_row.*")
     )
