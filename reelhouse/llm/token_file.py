@@ -41,7 +41,7 @@ from reelhouse.session import run_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 750_000
+CACHE_WORDS = 1_000_000
 
 _ENCODERS: dict[str, Encoder] = {}
 # A blank after white space: what no word of letters and no cut at a blank may hide.
@@ -101,7 +101,8 @@ class Encoder:
                 unknown.update(w for w, ids in zip(words[1:], found[1:]) if ids is None)
                 made.append(b"")
             else:
-                made.append(b"".join(found) + end)
+                found.append(end)
+                made.append(b"".join(found))
         self._learn(self.heads, heads, "")
         again = unknown & self.older.keys()
         self.cache.update((w, self.older[w]) for w in again)
