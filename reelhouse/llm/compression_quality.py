@@ -82,11 +82,13 @@ def fit(
     """Train on a bounded sample of the labelled rows that are not held out."""
     spark = docs.sparkSession
     # Ids first, so that no task carries texts that are not picked; of rows that share an id one teaches.
-    short = docs.where(F.char_length("text") <= max_chars).select("doc_id", "text", F.xxhash64("text").alias("_t"))
+    short = docs.where(F.char_length("text") <= max_chars).select(
+        "doc_id", "text", F.xxhash64("text").alias("_t"), F.octet_length("text").alias("_bytes")
+    )
     one = (
         labelled(short, labels, label)
         .groupBy("label", "doc_id")
-        .agg(F.min(F.struct("_t", F.octet_length("text").alias("bytes"))).alias("row"))
+        .agg(F.min(F.struct("_t", F.col("_bytes").alias("bytes"))).alias("row"))
         .select("label", "doc_id", "row.*", F.xxhash64("doc_id").alias("h"))
     )
     first = W.partitionBy("label").orderBy("h", "doc_id")
