@@ -66,5 +66,5 @@ def test_token_file_holds_the_mix(steps):
 def test_registered(spark):
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
