@@ -7,9 +7,10 @@ to `last`, so what is inside it is a slice, and a lookup costs the size of its o
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,23 @@ NODE_LIST = (
     "array<struct<pos:int,last:int,parent:int,tag:string,class:string,"
     "classes:array<string>,attrs:map<string,string>,text:string>>"
 )
+# The same for Arrow.
+_NODES = pa.list_(
+    pa.struct(
+        [
+            ("pos", pa.int32()),
+            ("last", pa.int32()),
+            ("parent", pa.int32()),
+            ("tag", pa.string()),
+            ("class", pa.string()),
+            ("classes", pa.list_(pa.string())),
+            ("attrs", pa.map_(pa.string(), pa.string())),
+            ("text", pa.string()),
+        ]
+    )
+)
+# Pages flattened at a time: nodes take many times the room of their page.
+PAGES_AT_ONCE = 128
 TEXT = "#text"
 SCRIPT = "#script"
 # Elements without content.
@@ -39,7 +57,7 @@ class _Flattener(HTMLParser):
         attrs = attrs or {}
         parent = self.open[-1] if self.open else -1
         names = attrs.get("class") or ""
-        self.nodes.append([pos, pos, parent, tag, names, names.split(), attrs, text])
+        self.nodes.append([pos, pos, parent, tag, names, names.split(), list(attrs.items()), text])
         return pos
 
     def handle_starttag(self, tag, attrs):
@@ -81,9 +99,16 @@ def _flatten(html: str | None) -> list[tuple] | None:
         return None
 
 
+def _flatten_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for pages in batches:
+        for start in range(0, len(pages), PAGES_AT_ONCE):
+            some = pages.slice(start, PAGES_AT_ONCE)
+            yield pa.array([_flatten(page.as_py()) for page in some], type=_NODES)
+
+
 def parse(html: Column) -> Column:
-    """Nodes of a page; the one Python step, in Arrow batches."""
-    return F.udf(_flatten, T.DataType.fromDDL(NODE_LIST), useArrow=True)(html)
+    """Nodes of a page; the one Python step, in Arrow batches handed on in short pieces."""
+    return F.arrow_udf(_flatten_batches, T.DataType.fromDDL(NODE_LIST))(html)
 
 
 def has_class(node: Column, name: str) -> Column:
