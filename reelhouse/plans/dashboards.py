@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.values import SCORE_BANDS, exact_mean, score_band
 from reelhouse.operators.filters import name_like
+from reelhouse.session import joinable
 
 Star = Mapping[str, DataFrame]
 
@@ -163,7 +164,7 @@ def rating_by_attribute(star: Star, least_ratings: int = 20) -> DataFrame:
     (kind, attribute, ratings, avg_rating, lift) for attributes with `least_ratings` or more. Ratings are
     summed per title before a bridge fans them out; nothing is paired with anything.
     """
-    totals = _totals(star["FACT_REVIEWS"], "media_info_id")
+    totals = joinable(_totals(star["FACT_REVIEWS"], "media_info_id"))
     overall = totals.agg(_mean()).first()[0]
     kinds = (
         ("genre", "BRIDGE_MEDIA_GENRE", "genre_id", "GENRES", "genre_title"),
