@@ -61,9 +61,9 @@ def test_bridge_by_keys_is_the_bridge_of_its_ids(review_rows):
 
 def test_repeated_keys_are_the_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None), (None, None), (2, "b")], "a int, b string")
-    found = {tuple(r) for r in quality.repeated_keys(df, ["a", "b"]).collect()}
-    assert found == {(1, "a", 2), (1, None, 2)}
-    assert quality.repeated_keys(df.distinct(), ["a", "b"]).isEmpty()
+    found = quality.repeated_keys({"twice": (df, ["a", "b"]), "once": (df.distinct(), ["a", "b"])})
+    assert list(found) == ["twice"]
+    assert {tuple(r) for r in found["twice"].collect()} == {(1, "a", 2), (1, None, 2)}
 
 
 def test_pages_are_flattened_a_few_at_a_time():
