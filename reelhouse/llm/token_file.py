@@ -9,7 +9,7 @@ split them.
 
 The tokenizer's words are cached by their text: what stands between two blanks is always
 tokenised alone by byte-level pre-tokenizers, so only words a worker has not met are encoded, letters alone
-by the tokenizer's model without its pre-tokenizer. Texts
+by the tokenizer's model without its pre-tokenizer, and what a single line end divides apart. Texts
 with runs of blanks are cut only where a blank follows a non-blank; texts that hold a special token, and
 tokenizers of another kind, are encoded as a whole. When the cache holds `CACHE_WORDS` words it becomes the older
 one and a new one begins; words that are met again are taken over, so a worker keeps twice that number at most
@@ -27,7 +27,7 @@ import re
 import string
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +46,23 @@ CACHE_WORDS = 500_000
 _ENCODERS: dict[str, Encoder] = {}
 # A blank after white space: what no word of letters and no cut at a blank may hide.
 _SPACED = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
+_SPACED_ASCII = [pair for pair in _SPACED if pair.isascii()]
 _BOUNDARY = re.compile(r"(?<=\S)(?= )")
 # The apostrophe may begin a token together with letters.
 _PUNCTUATION = string.punctuation.replace("'", "")
+_WHITE = re.compile(r"\s")
+
+
+class _Words(dict):
+    """Ids by word; one not met before is learnt when it is looked up."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
 
 
 class Encoder:
@@ -73,10 +87,12 @@ class Encoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.end = self._packed([END_ID])
         # Words that begin a text, words after a blank, kept without it, and punctuation at their ends.
-        self.heads: dict[str, bytes] = {}
+        self.heads: dict[str, bytes]
         self.cache: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes]
+        self.older: dict[str, bytes]
+        self._renew()
+        self.line_end = self._encoded("\n")
         alphabet = pre_tokenizers.ByteLevel.alphabet()
         plain = [b for b in range(256) if chr(b) in alphabet]
         others = [b for b in range(256) if chr(b) not in alphabet]
@@ -85,63 +101,50 @@ class Encoder:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian, with the end id."""
-        if len(self.heads) + len(self.cache) + len(self.tails) > CACHE_WORDS:
-            self.older, self.cache, self.heads, self.tails = self.cache, {}, {}, {}
-        # Each word is looked up once; texts with words not met before wait until these are learnt.
-        get, end, made, waiting = self.cache.get, self.end, [], []
-        heads, unknown = set(), set()
+        made = []
         for text in texts:
+            if len(self.heads) + len(self.cache) + len(self.tails) > CACHE_WORDS:
+                self._renew()
             words = self._words(text)
-            first = self.heads.get(words[0])
-            found = [first, *map(get, words[1:])]
-            if None in found:
-                waiting.append((len(made), words))
-                if first is None:
-                    heads.add(words[0])
-                unknown.update(w for w, ids in zip(words[1:], found[1:]) if ids is None)
-                made.append(b"")
-            else:
-                found.append(end)
-                made.append(b"".join(found))
-        self._learn(self.heads, heads, "")
-        again = unknown & self.older.keys()
-        self.cache.update((w, self.older[w]) for w in again)
-        self._learn(self.cache, unknown - again, " ")
-        for at, words in waiting:
-            made[at] = self.heads[words[0]] + b"".join(map(get, words[1:])) + end
+            if words is None:
+                made.append(self._encoded(text) + self.end)
+                continue
+            found = [self.heads[words[0]], *map(self.cache.__getitem__, words[1:]), self.end]
+            made.append(b"".join(found))
         return made
 
-    def _words(self, text: str) -> list[str]:
-        """The first word, and those after a blank without it; or the whole text alone."""
+    def _renew(self) -> None:
+        self.older = self.cache
+        self.cache, self.heads, self.tails = _Words(self._after_blank), _Words(self._at_start), _Words(self._model_ids)
+
+    def _words(self, text: str) -> list[str] | None:
+        """The first word, and those after a blank without it; None if the text is to be encoded as a whole."""
         if not self.by_words or any(s in text for s in self.special):
-            return [text]
-        if any(pair in text for pair in _SPACED):
+            return None
+        if any(pair in text for pair in (_SPACED_ASCII if text.isascii() else _SPACED)):
             first, *rest = _BOUNDARY.split(text)
             return [first, *(w[1:] for w in rest)]
         return text.split(" ")
 
-    def _learn(self, known: dict[str, bytes], words: set[str], blank: str) -> None:
-        """Letters alone go to the model at once; punctuation after them is a run of its own."""
-        others = []
-        for w in words:
-            stem = w.rstrip(_PUNCTUATION) if self.by_words else ""
-            if stem and stem.isalpha():
-                ids = known.get(stem)
-                if ids is None:
-                    ids = known[stem] = self._model_ids(blank + stem)
-                if len(stem) < len(w):
-                    tail = w[len(stem) :]
-                    after = self.tails.get(tail)
-                    if after is None:
-                        after = self.tails[tail] = self._model_ids(tail)
-                    known[w] = ids + after
-            else:
-                others.append(w)
-        encoded = self.tokenizer.encode_batch_fast(
-            [blank + w for w in others], add_special_tokens=False
-        )
-        for w, e in zip(others, encoded):
-            known[w] = self._packed(e.ids)
+    def _at_start(self, word: str) -> bytes:
+        return self._learnt(self.heads, word, "")
+
+    def _after_blank(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        return self._learnt(self.cache, word, " ") if ids is None else ids
+
+    def _learnt(self, known: dict[str, bytes], word: str, blank: str) -> bytes:
+        """Letters alone go to the model; punctuation after them and a single line end are runs of their own."""
+        stem = word.rstrip(_PUNCTUATION)
+        if stem.isalpha():
+            return known[stem] + self.tails[word[len(stem) :]] if len(stem) < len(word) else self._model_ids(blank + stem)
+        before, _, after = word.partition("\n")
+        if before and after and not _WHITE.search(before) and not _WHITE.search(after):
+            return known[before] + self.line_end + self.heads[after]
+        return self._encoded(blank + word)
+
+    def _encoded(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def _model_ids(self, run: str) -> bytes:
         """Ids of a run that the pre-tokenizer would not cut."""

@@ -89,3 +89,15 @@ def test_odd_rows(spark):
     got = sorted(token_file.round_trip(df, queries.TOKENIZER).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == [None, 1, 2, 2, 2]
     assert token_file.round_trip(df.limit(0), queries.TOKENIZER).count() == 0
+
+
+def test_words_at_a_line_end_are_learnt_apart():
+    plain, cached = Tokenizer.from_file(queries.TOKENIZER), token_file.Encoder(queries.TOKENIZER)
+    texts = ["a b\nc", "a b.\nC d", "a 's\n's", "a b\n\nc", "a b\n", "x a\n<b", "a b\r\nc\nd", "é é\nÉ.\n", "b\nc", "a 1\n2", "a b\x85\nc"]
+    for text in texts * 2:
+        want = plain.encode(text, add_special_tokens=False).ids + [token_file.END_ID]
+        assert np.frombuffer(cached.batch([text])[0], cached.dtype).tolist() == want
+    cached.batch(["x one", "two"])
+    cached.tokenizer = None  # what is known needs no tokenizer
+    want = plain.encode("x one\ntwo", add_special_tokens=False).ids + [token_file.END_ID]
+    assert np.frombuffer(cached.batch(["x one\ntwo"])[0], cached.dtype).tolist() == want
