@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from reelhouse import session
 from reelhouse.functions import markup
-from reelhouse.functions.keys import surrogate_id
+from reelhouse.functions.keys import packed_id, surrogate_id
 from reelhouse.operators import entities, quality
 from reelhouse.plans import standins
+from reelhouse.schemas import WAREHOUSE
 
 
 def plan(df):
@@ -107,3 +108,34 @@ def test_documents_of_orders_are_grouped_by_one_shuffle(spark, tmp_path):
     shuffles = [line for line in plan(docs).splitlines() if "Exchange hashpartitioning(part_key" in line]
     assert len([line for line in shuffles if "order_key" in line]) == 1
     assert not any("section_name" in line.split("]")[0] for line in plan(docs).splitlines() if "Exchange hash" in line)
+
+
+def test_packed_ids_are_as_many_as_ids(spark):
+    digest = "0123456789abcdef" * 2
+    ids = [digest, digest.upper(), digest + "\n", digest[:-1], "", " ", " " * 16, " " * 17, "20" * 16, "x" * 32, "é", None]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").select("id", packed_id("id").alias("p"))
+    packed = {r.id: r.p for r in df.collect()}
+    assert len({bytes(p) for i, p in packed.items() if i is not None}) == len(ids) - 1
+    assert packed[None] is None and len(packed[digest]) == 16
+
+
+def test_foreign_keys_are_looked_up_in_half_the_bytes(spark):
+    tables = {n: spark.createDataFrame([], t.schema) for n, t in WAREHOUSE.items()}
+    rows = 4000
+    hexed = F.md5(F.col("id").cast("string"))
+    ids = spark.range(rows).select(hexed.alias("id"))
+    tables["DIM_MEDIA_INFO"] = ids.selectExpr("id", "'Movie' media_type", "'T' primary_title", "'2000' release_date")
+    known = {n: spark.createDataFrame([], t.schema) for n, t in WAREHOUSE.items()}
+    sent = quality.violations(tables, known)
+    assert "unhex" in plan(sent) and sent.count() == 0
+    orphan = spark.createDataFrame([("x", "y", 1.0)], WAREHOUSE["BRIDGE_MEDIA_GENRE"].schema)
+    broken = quality.violations({**tables, "BRIDGE_MEDIA_GENRE": orphan}, known)
+    assert {(r.rule, r["rows"]) for r in broken.collect()} == {("foreign key media_id", 1), ("foreign key genre_id", 1)}
+
+
+def test_facts_by_keys_carry_ids(review_rows):
+    keyed = review_rows.withColumn("media", surrogate_id("part_key"))
+    some = {k: v for k, v in FOREIGN.items() if k != "media"}
+    found = entities.facts_by_keys(keyed, some, "seq", ids=("media",)).select("who", "time", "media", "rating")
+    expected = entities.facts_by_keys(review_rows, FOREIGN, "seq").select("who", "time", "media", "rating")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))

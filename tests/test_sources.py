@@ -11,6 +11,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse import session
 from reelhouse.operators import filters
 from reelhouse.operators.quality import IntegrityError
 from reelhouse.plans import star
@@ -414,3 +415,57 @@ pages.parsed(df).collect()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_a_stream_leaves_gzipped_documents_and_tables_and_no_staged_rows(spark, tmp_path, monkeypatch):
+    """What is staged for a batch goes with it, so that the folders do not add up over the batches."""
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    landing, root, state = (str(tmp_path / n) for n in ("landing", "wh", "state"))
+    review = "struct('Ann' as author, 'Mag' as company, '' as quote, 50 as rating, '2020-01-05' as post_date, true as isCritic)"
+    docs = spark.range(0, 300, numPartitions=2).selectExpr(
+        "'MOVIES' as category", "concat('Name ', id) as title",
+        "struct(array('Action', concat('G', id % 7)) as genres, 'Nov 1, 1999' as release_date) as media_details",
+        f"map('_default', transform(sequence(1, 20), i -> {review})) as critic_reviews",
+    )
+    sinks.json_docs(docs, landing)
+    files = list(pathlib.Path(landing).glob("*/part-*"))
+    assert len(files) == 2 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 300 * 20 * 10
+    ingest_warehouse(spark, landing, root, state, star.document_tables, multi_line=False, files_per_batch=1)
+    now = {n: df.count() for n, df in sinks.open_warehouse(spark, root).items()}
+    assert (now["DIM_MEDIA_INFO"], now["BRIDGE_MEDIA_GENRE"], now["GENRES"], now["FACT_REVIEWS"]) == (300, 600, 8, 300)
+    assert commits.latest(spark, root)[1]["batches"] == {"documents": 1}
+    assert not list((tmp_path / "shared").rglob("*.parquet"))
+
+
+def test_rows_that_are_there_are_left_out_of_every_table(spark, tmp_path):
+    """Ids that are digests and others; a batch that is all there, in part, and not at all."""
+    root = str(tmp_path)
+    digest = "0123456789abcdef" * 2
+
+    def batch(media, genres):
+        made = small_warehouse(spark)
+        info = [(m, "Movie", None, m, "2000", 90.0, None, None) for m in media]
+        made["DIM_MEDIA_INFO"] = spark.createDataFrame(info, WAREHOUSE["DIM_MEDIA_INFO"].schema)
+        made["GENRES"] = spark.createDataFrame([(g, g) for g in genres], WAREHOUSE["GENRES"].schema)
+        pairs = [(m, g, 1 / len(genres)) for m in media for g in genres]
+        made["BRIDGE_MEDIA_GENRE"] = spark.createDataFrame(pairs, WAREHOUSE["BRIDGE_MEDIA_GENRE"].schema)
+        for name, row in (("BRIDGE_MEDIA_ROLE", ("r", 1.0)), ("BRIDGE_MEDIA_COMPANY", ("c", 1.0))):
+            made[name] = spark.createDataFrame([(m, *row) for m in media], WAREHOUSE[name].schema)
+        facts = [("w", "t", "s", m, i) for i, m in enumerate(media)]
+        made["FACT_REVIEWS"] = spark.createDataFrame(facts, WAREHOUSE["FACT_REVIEWS"].schema)
+        return made
+
+    def rows(name):
+        return sorted(tuple(r) for r in sinks.open_warehouse(spark, root)[name].collect())
+
+    sinks.append(spark, batch([digest, "m"], ["g"]), root)
+    before = {n: rows(n) for n in WAREHOUSE}
+    sinks.append(spark, batch([digest, "m"], ["g"]), root)
+    assert {n: rows(n) for n in WAREHOUSE} == before
+    sinks.append(spark, batch(["m", "n"], ["g", digest]), root)
+    assert rows("BRIDGE_MEDIA_GENRE") == [(digest, "g", 1.0), ("m", "g", 1.0), ("n", digest, 0.5), ("n", "g", 0.5)]
+    assert [r[3:] for r in rows("FACT_REVIEWS")] == [(digest, 0), ("m", 1), ("n", 1)]
+    assert [r[0] for r in rows("GENRES")] == [digest, "g"] and len(rows("DIM_MEDIA_INFO")) == 3
+    folders = {p.parent.relative_to(tmp_path).as_posix() for p in tmp_path.rglob("part-*.parquet")}
+    assert folders == {f for paths in commits.latest(spark, root)[1]["tables"].values() for f in paths}
